@@ -1,14 +1,33 @@
-"""What every job needs from the session: its tables, and a place for checkpoints."""
+"""What every job needs from the session: its tables, its code on the executors, and a place for checkpoints."""
 
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).parent
+    file = Path(tempfile.mkdtemp(prefix="ledgerloom-"), f"{root.name}.zip")
+    with zipfile.ZipFile(file, "w") as packed:
+        for source in sorted(root.rglob("*.py")):
+            packed.write(source, source.relative_to(root.parent))
+    context.addPyFile(str(file))
+    _shipped.add(context.applicationId)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data folder."""
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
