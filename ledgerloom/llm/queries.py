@@ -1,0 +1,33 @@
+"""The registered queries of this subpackage."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F  # noqa: F401
+
+from ledgerloom.session import table
+
+from . import leaks
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable:
+    """Register a query under its function's name, with its SQL where there is one."""
+
+    def add(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[function.__name__] = function
+        if sql is not None:
+            ORACLE_SQL[function.__name__] = sql
+        return function
+
+    return add
+
+
+@query()
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold 13 consecutive words of an evaluation item."""
+    return leaks.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_cases"))
