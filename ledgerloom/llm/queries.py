@@ -9,7 +9,7 @@ from pyspark.sql import functions as F  # noqa: F401
 
 from ledgerloom.session import table
 
-from . import leaks
+from . import leaks, near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -27,6 +27,13 @@ def query(sql: str | None = None) -> Callable:
     return add
 
 
+@query()
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mails, and documents, whose three-word sequences agree by 60 % or more."""
+    records = near_duplicates.text_records(table(spark, sf_dir, "email_messages"), table(spark, sf_dir, "normalized_docs"))
+    return near_duplicates.near_duplicate_pairs(records).select("id_a", "id_b")
+
+
 @query()
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold 13 consecutive words of an evaluation item."""
