@@ -9,7 +9,7 @@ from pyspark.sql import functions as F  # noqa: F401
 
 from ledgerloom.session import table
 
-from . import leaks, near_duplicates
+from . import leaks, names, near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -34,6 +34,12 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicate_pairs(records).select("id_a", "id_b")
 
 
+@query()
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strings of senders and recipients that mean the same person or organisation."""
+    return names.name_pairs(names.name_strings(table(spark, sf_dir, "email_messages")))
+
+
 @query()
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold 13 consecutive words of an evaluation item."""
