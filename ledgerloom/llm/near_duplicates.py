@@ -7,9 +7,11 @@ texts spread over the segments: by the pigeonhole principle some segments have t
 
 A codeword has only 12 bits, far too few for a key of its own among millions of texts, and at the
 similarity asked for (0.6) every eighth bit differs, so that keys of several segments would hardly
-ever meet.  Each key therefore joins the codeword of its segment with the minima of two hash
-functions over the three-word sequences.  Texts that share a key are candidates; candidates are
-verified exactly on their whole texts.
+ever meet.  Each key therefore joins the codeword of its segment with an anchor, the minima of
+``ROWS`` hash functions over the three-word sequences.  An anchor that only one text has cannot
+match, so those go before the codewords are listed.  Texts that share a key are candidates; the
+minima of all bands bound their similarity from above within ``MARGIN``, and what is left is
+verified exactly on whole texts.
 
 Exact copies are put into classes first and only class representatives are compared.  Links come
 back for all members of classes of up to ``EXPAND`` copies; a larger class (one text may be a
@@ -29,48 +31,46 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.session import cut_lineage
+
 from .golay import near_codewords
 from .words import hash_words, mix, words_of
 
 SHINGLE = 3
 SIMILARITY = 0.6
 MIN_WORDS = 40
-BANDS = 20
+BANDS, ROWS = 26, 3
+#: Four standard deviations of a similarity estimated from BANDS * ROWS minima.
+MARGIN = 0.22
 EXPAND = 64
 #: Words sketched at once in a task.
-SLAB = 60_000
+SLAB = 8_000
 
-SKETCH = "kind string, id string, row_hash bigint, digest string, keys array<bigint>"
+SKETCH = "kind string, id string, row_hash bigint, digest string, anchors array<bigint>, segments array<int>, minima binary"
 
 
-def _segments(hashes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+def _segments(hashes: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
     """``BANDS`` 23-bit words for each text: the majority of the bits of its words."""
+    different, place = np.unique(hashes, return_inverse=True)
     lanes = -(-BANDS * 24 // 64)
-    spread = np.stack([mix(hashes + np.uint64(0x9E3779B97F4A7C15 * (k + 1) % 2**64)) for k in range(lanes)], axis=1)
-    bits = np.unpackbits(spread.view(np.uint8), axis=1)[:, : BANDS * 24]
-    sums = np.add.reduceat(bits, starts, axis=0, dtype=np.uint16 if lengths.max() < 65536 else np.uint32)
-    majority = (2 * sums.astype(np.int64) > lengths[:, None]).reshape(len(starts), BANDS, 24)[:, :, :23]
+    spread = np.stack([mix(different + np.uint64(0x9E3779B97F4A7C15 * (k + 1) % 2**64)) for k in range(lanes)], axis=1)
+    bits = np.unpackbits(spread.view(np.uint8), axis=1)[:, : BANDS * 24].astype(np.float32) * 2 - 1
+    counts = np.bincount(owner * len(different) + place, minlength=texts * len(different)).reshape(texts, -1).astype(np.float32)
+    majority = (counts @ bits > 0).reshape(texts, BANDS, 24)[:, :, :23]
     return majority @ (1 << np.arange(23, dtype=np.int64))
 
 
-def _keys(hashes: np.ndarray, lengths: np.ndarray) -> list[np.ndarray]:
-    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+_FACTORS = mix(np.arange(1, 2 * BANDS * ROWS, 2, dtype=np.uint64)) | np.uint64(1)
+_SHIFTS = mix(np.arange(2, 2 * BANDS * ROWS + 1, 2, dtype=np.uint64))
+
+
+def _minima(hashes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The least value of each hash function over the word sequences of each text."""
     shingles = mix(mix(mix(hashes[:-2]) + hashes[1:-1]) * np.uint64(3) + hashes[2:])
     # a sequence across the end of a text takes the value of that text's last one
     last = np.repeat(starts + lengths - SHINGLE, lengths)
     shingles = shingles[np.minimum(np.arange(len(hashes)), last)]
-    segments = _segments(hashes, starts, lengths)
-    out = []
-    for band in range(BANDS):
-        base = np.full(len(starts), band + 1, np.uint64)
-        for k in (2 * band, 2 * band + 1):
-            factor, shift = mix(np.array([2 * k + 1, 2 * k + 2], np.uint64))
-            base = mix(base + np.minimum.reduceat(shingles * (factor | np.uint64(1)) + shift, starts))
-        near = near_codewords(segments[:, band])
-        keys = mix(base[:, None] + near.astype(np.uint64) + np.uint64(1))
-        out.append(np.where(near >= 0, keys.view(np.int64), 0))
-    every = np.concatenate(out, axis=1)
-    return [row[row != 0] for row in every]
+    return np.stack([np.minimum.reduceat(shingles * f + s, starts) for f, s in zip(_FACTORS, _SHIFTS, strict=True)], axis=1)
 
 
 def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -81,8 +81,32 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         slabs = np.cumsum(sizes[fit]) // SLAB
         for slab in np.unique(slabs):
             at = fit[slabs == slab]
-            keys = _keys(hash_words([w for i in at for w in words[i]]), sizes[at])
-            yield batch.iloc[at][["kind", "id", "row_hash", "digest"]].assign(keys=keys)
+            lengths = sizes[at]
+            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+            hashes = hash_words([w for i in at for w in words[i]])
+            minima = _minima(hashes, starts, lengths)
+            segments = _segments(hashes, np.repeat(np.arange(len(at)), lengths), len(at))
+            anchors = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(at), 1))
+            for k in range(ROWS):
+                anchors = mix(anchors + minima[:, k::ROWS])
+            sketch = {"anchors": list(anchors.view(np.int64)), "segments": list(segments.astype(np.int32)), "minima": [m.tobytes() for m in (minima >> np.uint64(48)).astype(np.uint16)]}
+            yield batch.iloc[at][["kind", "id", "row_hash", "digest"]].assign(**sketch)
+
+
+def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        near = near_codewords(batch["segment"].to_numpy(np.int64))
+        at, which = np.nonzero(near >= 0)
+        yield batch.iloc[at][["row_hash", "anchor"]].assign(codeword=near[at, which])
+
+
+def _estimate(similarity: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch[c]), np.uint16).reshape(len(batch), -1) for c in ("minima_a", "minima_b"))
+            yield batch.loc[(a == b).mean(axis=1) >= similarity - MARGIN, ["hash_a", "hash_b"]]
+
+    return run
 
 
 def _verify(similarity: float):
@@ -105,36 +129,52 @@ def _verify(similarity: float):
     return run
 
 
-def classes(records: DataFrame) -> DataFrame:
-    """``records(kind, id, text)`` to ``(kind, id, digest, representative, copies)``: the class of exact copies of each record."""
-    marked = records.where("id is not null and text is not null").select("kind", "id", F.md5(F.encode("text", "UTF-8")).alias("digest")).distinct()
+def sketch_texts(records: DataFrame) -> DataFrame:
+    """The sketches of ``records(kind, id, text)``, in reliable storage: everything later starts from them."""
+    texts = _digested(records)
+    return cut_lineage(texts.mapInPandas(_sketch, SKETCH))
+
+
+def _digested(records: DataFrame) -> DataFrame:
+    texts = records.where("id is not null and text is not null").withColumn("digest", F.md5(F.encode("text", "UTF-8")))
+    return texts.select("kind", "id", F.xxhash64("kind", "digest").alias("row_hash"), "digest", "text")
+
+
+def classes(sketches: DataFrame) -> DataFrame:
+    """``(kind, id, digest, representative, copies)``: the class of exact copies of each record."""
+    marked = sketches.select("kind", "id", "digest").distinct()
     heads = marked.groupBy("kind", "digest").agg(F.min("id").alias("representative"), F.count("*").alias("copies"))
     return marked.join(heads, ["kind", "digest"])
 
 
-def links(records: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def candidates(sketches: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``(hash_a, hash_b)``: texts that share a key and whose minima allow the similarity."""
+    bands = sketches.select("row_hash", F.explode(F.arrays_zip("anchors", "segments")).alias("band")).select("row_hash", F.col("band.anchors").alias("anchor"), F.col("band.segments").alias("segment"))
+    shared = bands.groupBy("anchor").agg(F.min("row_hash").alias("low"), F.max("row_hash").alias("high")).where("low < high").select("anchor")
+    meeting = bands.join(shared, "anchor").select("row_hash", "anchor", "segment").distinct()
+    keyed = cut_lineage(meeting.mapInPandas(_decode, "row_hash bigint, anchor bigint, codeword int"))
+    pairs = keyed.alias("a").join(keyed.alias("b"), ["anchor", "codeword"]).where("a.row_hash < b.row_hash").select(F.col("a.row_hash").alias("hash_a"), F.col("b.row_hash").alias("hash_b")).distinct()
+    minima = sketches.select("row_hash", "minima").dropDuplicates(["row_hash"])
+    both = pairs.join(minima.toDF("hash_a", "minima_a"), "hash_a").join(minima.toDF("hash_b", "minima_b"), "hash_b")
+    return both.mapInPandas(_estimate(similarity), "hash_a bigint, hash_b bigint")
+
+
+def links(records: DataFrame, sketches: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(kind, digest_a, digest_b, similarity)``: pairs of different texts of one kind, by the digests of their classes."""
-    texts = records.where("id is not null and text is not null").withColumn("digest", F.md5(F.encode("text", "UTF-8"))).withColumn("row_hash", F.xxhash64("kind", "digest"))
-    sketches = texts.select("kind", "id", "row_hash", "digest", "text").mapInPandas(_sketch, SKETCH)
-    keyed = sketches.select("row_hash", F.explode("keys").alias("key")).distinct()
-    pairs = keyed.alias("a").join(keyed.alias("b"), "key").where("a.row_hash < b.row_hash").select(F.col("a.row_hash").alias("hash_a"), F.col("b.row_hash").alias("hash_b")).distinct()
-    bodies = texts.select("row_hash", "kind", "digest", "text").dropDuplicates(["row_hash", "kind", "digest"])
-    left = bodies.select(F.col("row_hash").alias("hash_a"), "kind", F.col("digest").alias("digest_a"), F.col("text").alias("text_a"))
-    right = bodies.select(F.col("row_hash").alias("hash_b"), F.col("kind").alias("kind_b"), F.col("digest").alias("digest_b"), F.col("text").alias("text_b"))
+    pairs = cut_lineage(candidates(sketches, similarity))
+    wanted = pairs.select(F.explode(F.array("hash_a", "hash_b")).alias("row_hash")).distinct()
+    bodies = cut_lineage(_digested(records).join(wanted, "row_hash", "left_semi").dropDuplicates(["row_hash", "digest"]).select("row_hash", "kind", "digest", "text"))
+    left = bodies.toDF("hash_a", "kind", "digest_a", "text_a")
+    right = bodies.toDF("hash_b", "kind_b", "digest_b", "text_b")
     both = pairs.join(left, "hash_a").join(right, "hash_b").where("kind = kind_b").select("kind", "digest_a", "digest_b", "text_a", "text_b")
     return both.mapInPandas(_verify(similarity), "kind string, digest_a string, digest_b string, similarity double")
 
 
-def _long_enough(records: DataFrame) -> DataFrame:
-    from .words import spark_words
-
-    return records.where(F.size(spark_words(F.col("text"))) >= MIN_WORDS)
-
-
 def near_duplicate_pairs(records: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(kind, id_a, id_b)`` of records of one kind that say nearly the same, the smaller id first."""
-    found = links(records, similarity)
-    member = classes(_long_enough(records))
+    sketches = sketch_texts(records)
+    found = cut_lineage(links(records, sketches, similarity))
+    member = classes(sketches)
     shown = member.where((F.col("copies") <= EXPAND) | (F.col("id") == F.col("representative"))).select("kind", "digest", "id")
     across = (
         found.join(shown.select("kind", F.col("digest").alias("digest_a"), F.col("id").alias("x")), ["kind", "digest_a"])
