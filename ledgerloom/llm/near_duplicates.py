@@ -8,8 +8,9 @@ texts spread over the segments: by the pigeonhole principle some segments have t
 A codeword has only 12 bits, far too few for a key of its own among millions of texts, and at the
 similarity asked for (0.6) every eighth bit differs, so that keys of several segments would hardly
 ever meet.  Each key therefore joins the codeword of its segment with an anchor, the minima of
-``ROWS`` hash functions over the three-word sequences.  An anchor that only one text has cannot
-match, so those go before the codewords are listed.  Texts that share a key are candidates; the
+``ROWS`` hash functions over the three-word sequences: texts meet on the anchor and must have one
+of their codewords in common there.  An anchor that only one text has cannot match, so those go
+before the codewords are listed; listing a row for each codeword as well would triple the shuffle.  Texts that share a key are candidates; the
 minima of all bands bound their similarity from above within ``MARGIN``, and what is left is
 verified exactly on whole texts.
 
@@ -44,7 +45,7 @@ BANDS, ROWS = 26, 3
 MARGIN = 0.22
 EXPAND = 64
 #: Words sketched at once in a task.
-SLAB = 8_000
+SLAB = 20_000
 
 SKETCH = "kind string, id string, row_hash bigint, digest string, anchors array<bigint>, segments array<int>, minima binary"
 
@@ -95,9 +96,8 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        near = near_codewords(batch["segment"].to_numpy(np.int64))
-        at, which = np.nonzero(near >= 0)
-        yield batch.iloc[at][["row_hash", "anchor"]].assign(codeword=near[at, which])
+        near = near_codewords(batch["segment"].to_numpy(np.int64)).astype(np.int16)
+        yield batch[["row_hash", "anchor"]].assign(codewords=[row[:1] if row[1] < 0 else row for row in near])
 
 
 def _estimate(similarity: float):
@@ -152,8 +152,8 @@ def candidates(sketches: DataFrame, similarity: float = SIMILARITY) -> DataFrame
     bands = sketches.select("row_hash", F.explode(F.arrays_zip("anchors", "segments")).alias("band")).select("row_hash", F.col("band.anchors").alias("anchor"), F.col("band.segments").alias("segment"))
     shared = bands.groupBy("anchor").agg(F.min("row_hash").alias("low"), F.max("row_hash").alias("high")).where("low < high").select("anchor")
     meeting = bands.join(shared, "anchor").select("row_hash", "anchor", "segment").distinct()
-    keyed = cut_lineage(meeting.mapInPandas(_decode, "row_hash bigint, anchor bigint, codeword int"))
-    pairs = keyed.alias("a").join(keyed.alias("b"), ["anchor", "codeword"]).where("a.row_hash < b.row_hash").select(F.col("a.row_hash").alias("hash_a"), F.col("b.row_hash").alias("hash_b")).distinct()
+    keyed = meeting.mapInPandas(_decode, "row_hash bigint, anchor bigint, codewords array<smallint>")
+    pairs = keyed.alias("a").join(keyed.alias("b"), "anchor").where("a.row_hash < b.row_hash and arrays_overlap(a.codewords, b.codewords)").select(F.col("a.row_hash").alias("hash_a"), F.col("b.row_hash").alias("hash_b")).distinct()
     minima = sketches.select("row_hash", "minima").dropDuplicates(["row_hash"])
     both = pairs.join(minima.toDF("hash_a", "minima_a"), "hash_a").join(minima.toDF("hash_b", "minima_b"), "hash_b")
     return both.mapInPandas(_estimate(similarity), "hash_a bigint, hash_b bigint")
