@@ -7,12 +7,11 @@ texts spread over the segments: by the pigeonhole principle some segments have t
 
 A codeword has only 12 bits, far too few for a key of its own among millions of texts, and at the
 similarity asked for (0.6) every eighth bit differs, so that keys of several segments would hardly
-ever meet.  Each key therefore joins the codeword of its segment with an anchor, the minima of
-``ROWS`` hash functions over the three-word sequences: texts meet on the anchor and must have one
-of their codewords in common there.  An anchor that only one text has cannot match, so those go
-before the codewords are listed; listing a row for each codeword as well would triple the shuffle.  Texts that share a key are candidates; the
-minima of all bands bound their similarity from above within ``MARGIN``, and what is left is
-verified exactly on whole texts.
+ever meet.  Each band therefore has an anchor, the minima of ``ROWS`` hash functions over the
+three-word sequences: texts meet on the anchor and must have one of their codewords in common
+there (a row for each codeword would triple the shuffle).  Two bits of each of 64 minima, kept in
+the same row, drop the pairs that cannot be similar enough (``MAX_DIFFERENT`` lies four standard
+deviations above what a similarity of 0.6 gives).  The rest is verified exactly on whole texts.
 
 Exact copies are put into classes first and only class representatives are compared.  Links come
 back for all members of classes of up to ``EXPAND`` copies; a larger class (one text may be a
@@ -34,20 +33,20 @@ from pyspark.sql import functions as F
 
 from ledgerloom.session import cut_lineage
 
-from .golay import near_codewords
+from .golay import KEYS, near_codewords
 from .words import hash_words, mix, words_of
 
 SHINGLE = 3
 SIMILARITY = 0.6
 MIN_WORDS = 40
 BANDS, ROWS = 26, 3
-#: Four standard deviations of a similarity estimated from BANDS * ROWS minima.
-MARGIN = 0.22
+#: Of the 128 bits of two texts that are similar enough, at most so many differ.
+MAX_DIFFERENT = 47
 EXPAND = 64
 #: Words sketched at once in a task.
 SLAB = 20_000
 
-SKETCH = "kind string, id string, row_hash bigint, digest string, anchors array<bigint>, segments array<int>, minima binary"
+SKETCH = "kind string, id string, row_hash bigint, digest string, anchors array<bigint>, codewords array<smallint>, low_bits bigint, high_bits bigint"
 
 
 def _segments(hashes: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
@@ -90,25 +89,13 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             anchors = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(at), 1))
             for k in range(ROWS):
                 anchors = mix(anchors + minima[:, k::ROWS])
-            sketch = {"anchors": list(anchors.view(np.int64)), "segments": list(segments.astype(np.int32)), "minima": [m.tobytes() for m in (minima >> np.uint64(48)).astype(np.uint16)]}
+            near = near_codewords(segments.ravel())
+            near = np.where(near < 0, near[:, :1], near).astype(np.int16).reshape(len(at), -1)
+            low, high = (np.packbits((minima[:, :64] >> np.uint64(k) & np.uint64(1)).astype(bool), axis=1).view(np.int64).ravel() for k in (20, 40))
+            sketch = {"anchors": list(anchors.view(np.int64)), "codewords": list(near), "low_bits": low, "high_bits": high}
             yield batch.iloc[at][["kind", "id", "row_hash", "digest"]].assign(**sketch)
 
 
-def _decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        near = near_codewords(batch["segment"].to_numpy(np.int64)).astype(np.int16)
-        yield batch[["row_hash", "anchor"]].assign(codewords=[row[:1] if row[1] < 0 else row for row in near])
-
-
-def _estimate(similarity: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch[c]), np.uint16).reshape(len(batch), -1) for c in ("minima_a", "minima_b"))
-            yield batch.loc[(a == b).mean(axis=1) >= similarity - MARGIN, ["hash_a", "hash_b"]]
-
-    return run
-
-
 def _verify(similarity: float):
     def sequences(words: list[str]) -> set[tuple[str, ...]]:
         return set(zip(words, words[1:], words[2:], strict=False))
@@ -147,21 +134,18 @@ def classes(sketches: DataFrame) -> DataFrame:
     return marked.join(heads, ["kind", "digest"])
 
 
-def candidates(sketches: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``(hash_a, hash_b)``: texts that share a key and whose minima allow the similarity."""
-    bands = sketches.select("row_hash", F.explode(F.arrays_zip("anchors", "segments")).alias("band")).select("row_hash", F.col("band.anchors").alias("anchor"), F.col("band.segments").alias("segment"))
-    shared = bands.groupBy("anchor").agg(F.min("row_hash").alias("low"), F.max("row_hash").alias("high")).where("low < high").select("anchor")
-    meeting = bands.join(shared, "anchor").select("row_hash", "anchor", "segment").distinct()
-    keyed = meeting.mapInPandas(_decode, "row_hash bigint, anchor bigint, codewords array<smallint>")
-    pairs = keyed.alias("a").join(keyed.alias("b"), "anchor").where("a.row_hash < b.row_hash and arrays_overlap(a.codewords, b.codewords)").select(F.col("a.row_hash").alias("hash_a"), F.col("b.row_hash").alias("hash_b")).distinct()
-    minima = sketches.select("row_hash", "minima").dropDuplicates(["row_hash"])
-    both = pairs.join(minima.toDF("hash_a", "minima_a"), "hash_a").join(minima.toDF("hash_b", "minima_b"), "hash_b")
-    return both.mapInPandas(_estimate(similarity), "hash_a bigint, hash_b bigint")
+def candidates(sketches: DataFrame) -> DataFrame:
+    """``(hash_a, hash_b)``: texts that meet on an anchor, share a codeword there and may be similar enough."""
+    bands = sketches.select("row_hash", "low_bits", "high_bits", "codewords", F.posexplode("anchors").alias("band", "anchor"))
+    keyed = bands.select("row_hash", "low_bits", "high_bits", "anchor", F.slice("codewords", F.col("band") * KEYS + 1, F.lit(KEYS)).alias("codewords"))
+    different = F.bit_count(F.col("a.low_bits").bitwiseXOR(F.col("b.low_bits"))) + F.bit_count(F.col("a.high_bits").bitwiseXOR(F.col("b.high_bits")))
+    met = keyed.alias("a").join(keyed.alias("b"), "anchor").where((F.col("a.row_hash") < F.col("b.row_hash")) & (different <= MAX_DIFFERENT) & F.arrays_overlap("a.codewords", "b.codewords"))
+    return met.select(F.col("a.row_hash").alias("hash_a"), F.col("b.row_hash").alias("hash_b")).distinct()
 
 
 def links(records: DataFrame, sketches: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(kind, digest_a, digest_b, similarity)``: pairs of different texts of one kind, by the digests of their classes."""
-    pairs = cut_lineage(candidates(sketches, similarity))
+    pairs = cut_lineage(candidates(sketches))
     wanted = pairs.select(F.explode(F.array("hash_a", "hash_b")).alias("row_hash")).distinct()
     bodies = cut_lineage(_digested(records).join(wanted, "row_hash", "left_semi").dropDuplicates(["row_hash", "digest"]).select("row_hash", "kind", "digest", "text"))
     left = bodies.toDF("hash_a", "kind", "digest_a", "text_a")
