@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from ledgerloom.session import cut_lineage
 
 from .golay import KEYS, near_codewords
-from .words import hash_words, mix, words_of
+from .words import hash_words, mix, spark_words, words_of
 
 SHINGLE = 3
 SIMILARITY = 0.6
@@ -116,20 +116,15 @@ def _verify(similarity: float):
     return run
 
 
-def sketch_texts(records: DataFrame) -> DataFrame:
-    """The sketches of ``records(kind, id, text)``, in reliable storage: everything later starts from them."""
-    texts = _digested(records)
-    return cut_lineage(texts.mapInPandas(_sketch, SKETCH))
-
-
 def _digested(records: DataFrame) -> DataFrame:
     texts = records.where("id is not null and text is not null").withColumn("digest", F.md5(F.encode("text", "UTF-8")))
     return texts.select("kind", "id", F.xxhash64("kind", "digest").alias("row_hash"), "digest", "text")
 
 
-def classes(sketches: DataFrame) -> DataFrame:
-    """``(kind, id, digest, representative, copies)``: the class of exact copies of each record."""
-    marked = sketches.select("kind", "id", "digest").distinct()
+def classes(records: DataFrame) -> DataFrame:
+    """``(kind, id, row_hash, digest, representative, copies)``: the class of exact copies of each record that is long enough."""
+    long_enough = _digested(records).where(F.size(spark_words(F.col("text"))) >= MIN_WORDS)
+    marked = long_enough.select("kind", "id", "row_hash", "digest").distinct()
     heads = marked.groupBy("kind", "digest").agg(F.min("id").alias("representative"), F.count("*").alias("copies"))
     return marked.join(heads, ["kind", "digest"])
 
@@ -143,22 +138,22 @@ def candidates(sketches: DataFrame) -> DataFrame:
     return met.select(F.col("a.row_hash").alias("hash_a"), F.col("b.row_hash").alias("hash_b")).distinct()
 
 
-def links(records: DataFrame, sketches: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def links(records: DataFrame, member: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(kind, digest_a, digest_b, similarity)``: pairs of different texts of one kind, by the digests of their classes."""
-    pairs = cut_lineage(candidates(sketches))
-    wanted = pairs.select(F.explode(F.array("hash_a", "hash_b")).alias("row_hash")).distinct()
-    bodies = cut_lineage(_digested(records).join(wanted, "row_hash", "left_semi").dropDuplicates(["row_hash", "digest"]).select("row_hash", "kind", "digest", "text"))
-    left = bodies.toDF("hash_a", "kind", "digest_a", "text_a")
-    right = bodies.toDF("hash_b", "kind_b", "digest_b", "text_b")
-    both = pairs.join(left, "hash_a").join(right, "hash_b").where("kind = kind_b").select("kind", "digest_a", "digest_b", "text_a", "text_b")
-    return both.mapInPandas(_verify(similarity), "kind string, digest_a string, digest_b string, similarity double")
+    texts = _digested(records)
+    pairs = candidates(texts.mapInPandas(_sketch, SKETCH))
+    heads = member.where("id = representative").select("row_hash", "kind", "digest", "id")
+    known = pairs.join(heads.toDF("hash_a", "kind", "digest_a", "id_a"), "hash_a").join(heads.toDF("hash_b", "kind_b", "digest_b", "id_b"), "hash_b").where("kind = kind_b")
+    left = texts.select("id", "digest", "text").toDF("id_a", "digest_a", "text_a")
+    right = texts.select("id", "digest", "text").toDF("id_b", "digest_b", "text_b")
+    both = known.join(left, ["id_a", "digest_a"]).join(right, ["id_b", "digest_b"]).select("kind", "digest_a", "digest_b", "text_a", "text_b")
+    return both.mapInPandas(_verify(similarity), "kind string, digest_a string, digest_b string, similarity double").dropDuplicates(["kind", "digest_a", "digest_b"])
 
 
 def near_duplicate_pairs(records: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(kind, id_a, id_b)`` of records of one kind that say nearly the same, the smaller id first."""
-    sketches = sketch_texts(records)
-    found = cut_lineage(links(records, sketches, similarity))
-    member = classes(sketches)
+    member = cut_lineage(classes(records))
+    found = cut_lineage(links(records, member, similarity))
     shown = member.where((F.col("copies") <= EXPAND) | (F.col("id") == F.col("representative"))).select("kind", "digest", "id")
     across = (
         found.join(shown.select("kind", F.col("digest").alias("digest_a"), F.col("id").alias("x")), ["kind", "digest_a"])
