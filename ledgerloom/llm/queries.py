@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F  # noqa: F401
+from pyspark.sql import functions as F
 
 from ledgerloom.session import table
 
-from . import leaks, names, near_duplicates
+from . import history, leaks, names, near_duplicates, private_data
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -34,12 +34,36 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicate_pairs(records).select("id_a", "id_b")
 
 
+@query()
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines that the sender of each mail newly wrote."""
+    return history.newly_written(history.mail_texts(table(spark, sf_dir, "email_messages"), table(spark, sf_dir, "extracted")))
+
+
 @query()
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strings of senders and recipients that mean the same person or organisation."""
     return names.name_pairs(names.name_strings(table(spark, sf_dir, "email_messages")))
 
 
+def _private(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    messages, documents = table(spark, sf_dir, "email_messages"), table(spark, sf_dir, "normalized_docs")
+    records = near_duplicates.text_records(messages, documents).select(F.col("id").alias("record_id"), "text")
+    return records, private_data.name_lexicon(names.name_strings(messages))
+
+
+@query()
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Private data in mails and documents, as it stands."""
+    return private_data.found_values(*_private(spark, sf_dir))
+
+
+@query()
+def p6_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mails and documents with typed placeholders in the place of private data."""
+    return private_data.redacted(*_private(spark, sf_dir))
+
+
 @query()
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold 13 consecutive words of an evaluation item."""
