@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.session import table
 
-from . import history, leaks, names, near_duplicates, private_data
+from . import history, leaks, names, near_duplicates, private_data, scan_noise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -34,6 +34,18 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicate_pairs(records).select("id_a", "id_b")
 
 
+@query()
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running heads, page numbers, broken and misread words in scanned records."""
+    return scan_noise.noise_lines(table(spark, sf_dir, "extracted"), table(spark, sf_dir, "normalized_docs"))
+
+
+@query()
+def p2_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scanned records as continuous paragraphs."""
+    return scan_noise.repaired(table(spark, sf_dir, "extracted"), table(spark, sf_dir, "normalized_docs"))
+
+
 @query()
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines that the sender of each mail newly wrote."""
