@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -31,13 +33,35 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """A copy of ``df`` in reliable storage, without its lineage.
-
-    A cluster names a shared folder in ``spark.checkpoint.dir``; only where the setting is
-    missing (tests, a laptop) is a folder of our own used.
-    """
-    context = df.sparkSession.sparkContext
+def _checkpoint_dir(spark: SparkSession) -> str:
+    """The folder that all executors share: what the cluster names, or one of our own where it names none."""
+    context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="ledgerloom-"))
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """A copy of ``df`` in reliable storage, without its lineage."""
+    _checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a compressed table in the shared folder, for wide rows of which later steps read some columns.
+
+    The tables are removed when the driver ends.
+    """
+    spark = df.sparkSession
+    path = f"{_checkpoint_dir(spark)}/table-{uuid.uuid4()}"
+    df.write.option("compression", "zstd").parquet(path)
+    atexit.register(_remove, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # noqa: BLE001, the context has ended before
+        return
