@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.session import cut_lineage
+from ledgerloom.session import written
 
 from .own_lines import own_lines
 from .words import hash_words, words_of
@@ -117,23 +117,29 @@ def boilerplate(sentences: DataFrame) -> DataFrame:
 
 
 def inherited(sentences: DataFrame) -> DataFrame:
-    """``(record_id, lines)`` of sentences that an earlier mail of the thread said in nearly these words."""
-    said = sentences.where("print is not null and thread is not null and position is not null")
-    keyed = said.select("thread", "position", "record_id", "lines", "sentence", "print", _blocks("print").alias("block"))
-    later = keyed.where("position > 1")
-    earlier = keyed.select("thread", "block", F.col("position").alias("before"), F.col("sentence").alias("said"), F.col("print").alias("said_print")).distinct()
-    met = later.join(earlier, ["thread", "block"]).where((F.col("before") < F.col("position")) & _close("print", "said_print") & _near("sentence", "said"))
-    return met.select("record_id", "lines").distinct()
+    """``(sentence_id)`` of sentences that an earlier mail of the thread said in nearly these words."""
+    said = sentences.where("print is not null and thread is not null and position is not null").select("thread", "position", "sentence_id", "print")
+    spans = said.groupBy("thread").agg(F.min("position").alias("first"), F.max("position").alias("last")).where(F.col("first") < F.col("last"))
+    inside = said.join(spans, "thread")
+    later = inside.where(F.col("position") > F.col("first")).select("thread", "position", "sentence_id", "print", _blocks("print").alias("block"))
+    earlier = inside.where(F.col("position") < F.col("last")).select("thread", F.col("position").alias("before"), F.col("sentence_id").alias("said_id"), F.col("print").alias("said_print"), _blocks("print").alias("block"))
+    met = later.join(earlier, ["thread", "block"]).where((F.col("before") < F.col("position")) & _close("print", "said_print")).select("sentence_id", "said_id").distinct()
+    met = written(met)
+    texts = sentences.where("print is not null").select("sentence_id", "sentence")
+    both = texts.join(met, "sentence_id").join(texts.toDF("said_id", "said"), "said_id")
+    return both.where(_near("sentence", "said")).select("sentence_id").distinct()
 
 
 def newly_written(mails: DataFrame) -> DataFrame:
     """``mails(record_id, thread, position, headed, sender, text)`` to ``(record_id, line_no)``."""
-    texts = mails.where("record_id is not null and text is not null and text <> ''").dropDuplicates(["record_id"])
-    sentences = cut_lineage(texts.mapInPandas(_sentences, SENTENCES))
+    texts = mails.where("record_id is not null and text is not null and text <> ''")
+    sentences = texts.mapInPandas(_sentences, SENTENCES).withColumn("sentence_id", F.xxhash64("record_id", "lines", "sentence"))
+    sentences = written(sentences)
     gone = inherited(sentences).withColumn("gone", F.lit(True))
-    shared = boilerplate(sentences).withColumn("shared", F.lit(True))
-    marked = sentences.join(gone, ["record_id", "lines"], "left").join(shared, "sentence", "left")
-    kept = marked.where("gone is null and not (tail and shared is not null)")
+    shared = written(boilerplate(sentences)).withColumn("shared", F.lit(True))
+    tails = sentences.where("tail and print is not null").select("sentence_id", "sentence").join(shared, "sentence").select("sentence_id").withColumn("gone", F.lit(True))
+    dropped = written(gone.unionByName(tails).distinct())
+    kept = sentences.select("record_id", "lines", "sentence_id").join(dropped, "sentence_id", "left_anti")
     return kept.select("record_id", F.explode("lines").alias("line_no")).distinct()
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.session import table
 
-from . import history, leaks, names, near_duplicates, private_data, scan_noise
+from . import history, leaks, names, near_duplicates, packing, private_data, scan_noise, subjects
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -80,3 +80,22 @@ def p6_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold 13 consecutive words of an evaluation item."""
     return leaks.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_cases"))
+
+
+@query()
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The subjects that a fifth of each document's sentences deal with."""
+    return subjects.document_subjects(table(spark, sf_dir, "documents"), table(spark, sf_dir, "subject_labels")).select("doc_id", "subject")
+
+
+@query()
+def p7_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in containers of every capacity."""
+    return packing.packed(table(spark, sf_dir, "documents"), table(spark, sf_dir, "token_windows"))
+
+
+@query()
+def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How full the containers of each capacity are."""
+    windows = table(spark, sf_dir, "token_windows")
+    return packing.fill_report(packing.packed(table(spark, sf_dir, "documents"), windows), windows)
