@@ -150,24 +150,24 @@ def c12_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def c14_clean_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mails after all steps of cleaning."""
-    return table(spark, sf_dir, "email_messages").select("message_id", "ingested_ts", cleaning.clean_message_body(F.col("body")).alias("clean"))
+    return cleaning.clean_message_body(table(spark, sf_dir, "email_messages").select("message_id", "ingested_ts", F.col("body").alias("clean")), "clean")
 
 
 @query()
 def c15_clean_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents after all steps of cleaning."""
-    docs = table(spark, sf_dir, "normalized_docs").select("document_id", "document_type", cleaning.nfkc("content").alias("content"))
-    return docs.select("document_id", cleaning.clean_document_text(F.col("content"), F.col("document_type")).alias("clean"))
+    docs = table(spark, sf_dir, "normalized_docs").select("document_id", "document_type", F.col("content").alias("clean"))
+    return cleaning.clean_document_text(docs, "clean").select("document_id", "clean")
 
 
 @query()
 def c16_cleaning_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many lines cleaning removes or redacts, by document type."""
-    folded = table(spark, sf_dir, "normalized_docs").select("document_type", cleaning.nfkc("content").alias("content"))
-    docs = folded.select("document_type", "content", cleaning.clean_document_text(F.col("content"), F.col("document_type")).alias("clean"))
+    docs = table(spark, sf_dir, "normalized_docs").select("document_type", "content", F.col("content").alias("clean"))
+    both = cleaning.clean_document_text(docs, "clean")
     before, after = F.split("content", "\n"), F.split("clean", "\n")
-    gone = F.size(F.array_except(before, after))
-    return docs.select("document_type", gone.alias("removed"), F.size(F.filter(after, lambda x: x.contains(" removed]"))).alias("redacted")).groupBy("document_type").agg(F.sum("removed").alias("lines_removed"), F.sum("redacted").alias("lines_redacted"))
+    counts = both.select("document_type", F.size(F.array_except(before, after)).alias("removed"), F.size(F.filter(after, lambda x: x.contains(" removed]"))).alias("redacted"))
+    return counts.groupBy("document_type").agg(F.sum("removed").alias("lines_removed"), F.sum("redacted").alias("lines_redacted"))
 
 
 # ---------------------------------------------------------------- headers and threads
