@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.session import cut_lineage
 
+from .words import in_slabs
+
 # --- fixed values: what a character is taken for ---
 CONFUSIONS = [
     ("e", "c"), ("a", "@"), ("t", "f"), ("o", "0"), ("i", "l"), ("s", "5"), ("l", "1"), ("n", "ri"), ("u", "ii"), ("d", "cl"), ("g", "9"), ("m", "rn"), ("h", "li"), ("w", "vv"),
@@ -37,6 +39,8 @@ CONJUNCTIONS = "and or und oder".split()
 
 #: A word is frequent from this count on, and a variant of it is rare below this share.
 FREQUENT, RARE_SHARE = 3, 0.02
+#: Records taken apart at once in a task.
+SLAB = 100
 #: A long line beside a page number is a head if so many records have it there.
 EDGE_RECORDS = 3
 
@@ -112,7 +116,7 @@ def layout(lines: list[str]) -> tuple[dict[int, set[str]], dict[int, str], list[
 
 
 def _layout_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
+    for batch in in_slabs(batches, SLAB):
         rows = []
         for record_id, text in zip(batch["record_id"], batch["text"], strict=True):
             lines = text.split("\n")

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import re
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 import xxhash
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,6 +19,13 @@ CACHE = 500_000
 _hashes: dict[str, int] = {}
 
 
+def in_slabs(batches: Iterator[pd.DataFrame], rows: int) -> Iterator[pd.DataFrame]:
+    """The batches in pieces of a few rows, so that what is made of them stays small."""
+    for batch in batches:
+        for begin in range(0, len(batch), rows):
+            yield batch.iloc[begin : begin + rows].reset_index(drop=True)
+
+
 def words_of(text: str | None) -> list[str]:
     return WORD.findall(text.lower()) if text else []
 
