@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import cleaning, headers, ids
-from ledgerloom.operators import chunking, evaluation, index, instants, search, threads
+from ledgerloom.operators import chunking, evaluation, index, instants, providers, search, threads
 from ledgerloom.registry import ORACLE_SQL, QUERIES, query
 from ledgerloom.session import table
 from ledgerloom.vocabulary import DOCUMENT_TYPES, JURISDICTIONS, NA, SOURCE_TYPES
@@ -536,3 +536,19 @@ _FIELDS = ["tax_topic", "jurisdiction", "author", "legal_entity", "business_unit
 def a7_field_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often metadata fields say something."""
     return evaluation.field_coverage(table(spark, sf_dir, "normalized_docs"), _FIELDS)
+
+
+@query()
+def v1_chunk_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of all chunks by hashed words, where no model is at hand: width and first value."""
+    vectors = table(spark, sf_dir, "search_docs").select("chunk_id", providers.embedder(64)("content").alias("embedding"))
+    return vectors.select("chunk_id", F.size("embedding").alias("dimensions"), F.get("embedding", F.lit(0)).alias("first_value"))
+
+
+@query("select test_id, round(max(case when error is null and expected_intent = actual_intent then 1.0::double else 0.0::double end), 1) as hit from eval_cases group by test_id")
+def a8_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the first answer of each case is the wanted one."""
+    cases = table(spark, sf_dir, "eval_cases")
+    first = F.when(F.col("error").isNull(), F.col("actual_intent"))
+    hit = providers.hit_at(F.array(first), F.array("expected_intent"), 1)
+    return cases.groupBy("test_id").agg(F.round(F.max(hit.cast("double")), 1).alias("hit"))
