@@ -37,6 +37,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Tokens and containers that a packing group holds at most, about.
 GROUP_TOKENS, GROUP_CONTAINERS = 4_000_000, 1_000
+#: Kinds of containers, a table of settings.
+MAX_KINDS = 1_000
 #: Items of at least this share of the largest that fits may go before it, for the mixture.
 NEARLY = 0.97
 
@@ -122,7 +124,12 @@ def packed(documents: DataFrame, windows: DataFrame, *, targets: DataFrame | Non
     ``targets(source, share)`` sets the mixture.
     """
     sizes = cut_lineage(sized(documents, vocabulary))
-    every = sizes.join(windows.select("window_name", F.col("capacity_tokens").cast("bigint").alias("capacity")), F.col("capacity") > 0)
+    kinds = windows.where("window_name is not null and capacity_tokens > 0").select("window_name", F.col("capacity_tokens").cast("bigint").alias("capacity")).distinct().limit(MAX_KINDS + 1).collect()
+    if len(kinds) > MAX_KINDS:
+        raise ValueError(f"more than {MAX_KINDS} kinds of containers")
+    none = F.expr("cast(array() as array<struct<window_name:string,capacity:bigint>>)")
+    kind = F.explode(none if not kinds else F.array(*(F.struct(F.lit(k["window_name"]).alias("window_name"), F.lit(k["capacity"]).cast("bigint").alias("capacity")) for k in kinds))).alias("kind")
+    every = sizes.select("doc_id", "source", "n_tokens", kind).select("doc_id", "source", "n_tokens", "kind.window_name", "kind.capacity")
     full = F.floor(F.col("n_tokens") / F.col("capacity")).cast("int")
     cut = every.withColumns({"full": full, "rest": F.col("n_tokens") % F.col("capacity")})
     whole = (
