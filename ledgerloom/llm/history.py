@@ -2,13 +2,16 @@
 
 1. The layout (:mod:`own_lines`) marks quoted lines, the lines that introduce them, signatures and
    footers; what it leaves is joined to paragraphs and split into sentences.
-2. Each sentence of ``MIN_WORDS`` words gets a 64-bit SimHash.  Fingerprints are cut into
-   ``RADIUS + 1`` blocks: those within ``RADIUS`` bits agree in a block, so tables partitioned by
-   (thread, block) hold every earlier near-match of a sentence in its thread, and a table
-   partitioned by block those of the sentences below the signatures of other mails.
+2. Each sentence of ``MIN_WORDS`` words gets a print of 256 bits, one for each pair of neighbouring
+   characters that it has.  One edit changes at most four of them, so that within a thread no
+   near-match is lost: different sentences with the same figures meet there, and those whose
+   lengths and prints allow it are compared.  Sentences below signatures meet across threads, on
+   ``BANDS`` anchors of ``ROWS`` minima over their runs of three characters.
 3. Near-matches are verified by their edit distance.  A sentence that an earlier mail of the
-   thread already said is inherited; a sentence below a signature that ``SHARED_BY`` mails close
-   with is boilerplate.  A line of which every sentence is either is not newly written.
+   thread already said is inherited, unless its figures are others; a sentence below a signature
+   that ``SHARED_BY`` mails close with is boilerplate.  A line of which every sentence is either is
+   not newly written.  Shorter sentences count as boilerplate too, but are never inherited:
+   greetings and answers such as "Will do." are written anew each time.
 
 Sentences below signatures are counted before they are compared, so that a disclaimer on a third
 of all mails is one row and no hot key.
@@ -30,22 +33,43 @@ from pyspark.sql import functions as F
 from ledgerloom.session import written
 
 from .own_lines import own_lines
-from .words import hash_words, words_of
+from .words import mix, words_of
 
 MIN_WORDS = 6
-RADIUS = 3
+BANDS, ROWS = 40, 3
 #: Edits by which two sentences may differ, as a share of the longer one.
 EDITS = 0.15
 #: Sentences below a signature that so many mails share are boilerplate.
 SHARED_BY = 5
 
-SENTENCES = "record_id string, thread bigint, position int, tail boolean, lines array<int>, sentence string, print bigint"
+SENTENCES = "record_id string, thread bigint, position int, tail boolean, lines array<int>, sentence string, figures string, print array<bigint>"
 _END = re.compile(r"(?<=[.!?])\s+")
+_FIGURES = re.compile(r"\d+")
+_FACTORS = mix(np.arange(1, 2 * BANDS * ROWS, 2, dtype=np.uint64)) | np.uint64(1)
+_SHIFTS = mix(np.arange(2, 2 * BANDS * ROWS + 1, 2, dtype=np.uint64))
 
 
-def _fingerprint(words: list[str]) -> int:
-    bits = np.unpackbits(hash_words(words).view(np.uint8).reshape(-1, 8), axis=1)
-    return int(np.packbits(2 * bits.sum(axis=0, dtype=np.int64) > len(words)).view(np.int64)[0])
+def _characters(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+
+
+def _print(sentence: str) -> np.ndarray:
+    """256 bits, set for the pairs of neighbouring characters."""
+    c = _characters(sentence)
+    bits = np.zeros(256, np.uint8)
+    bits[(mix(c[:-1] * np.uint64(0x110000) + c[1:]) & np.uint64(255)).astype(np.int64)] = 1
+    return np.packbits(bits).view(np.int64)
+
+
+def _anchors(sentence: str) -> np.ndarray:
+    """``BANDS`` keys, each of the least values of ``ROWS`` hash functions over the runs of three characters."""
+    c = _characters(f"  {sentence}  ")
+    runs = mix(mix(c[:-2] * np.uint64(0x110000) + c[1:-1]) + c[2:])
+    minima = (runs[:, None] * _FACTORS + _SHIFTS).min(axis=0)
+    anchors = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for k in range(ROWS):
+        anchors = mix(anchors + minima[k::ROWS])
+    return anchors.view(np.int64)
 
 
 def sentences_of(lines: list[str], own: list[int]) -> Iterator[tuple[list[int], str]]:
@@ -87,47 +111,47 @@ def _sentences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     above = k
             for covered, sentence in sentences_of(lines, own):
                 words = words_of(sentence)
-                seen = len(words) >= MIN_WORDS
-                rows.append((record_id, thread, position, covered[0] in tails, [skip + k + 1 for k in covered], sentence if seen else None, _fingerprint(words) if seen else None))
-        yield pd.DataFrame(rows, columns=["record_id", "thread", "position", "tail", "lines", "sentence", "print"])
+                seen, tail = len(words) >= MIN_WORDS, covered[0] in tails
+                figures = " ".join(sorted(_FIGURES.findall(sentence))) if seen else None
+                rows.append((record_id, thread, position, tail, [skip + k + 1 for k in covered], sentence if seen or tail else None, figures, _print(sentence) if seen else None))
+        yield pd.DataFrame(rows, columns=["record_id", "thread", "position", "tail", "lines", "sentence", "figures", "print"])
 
 
-def _blocks(print_: str) -> Column:
-    """The blocks of a fingerprint, each with its number."""
-    width = 64 // (RADIUS + 1)
-    return F.explode(F.array(*(F.shiftleft(F.shiftrightunsigned(print_, k * width).bitwiseAND((1 << width) - 1), 4) + k for k in range(RADIUS + 1))))
+def _anchored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        yield batch.assign(anchors=[_anchors(x) for x in batch["sentence"]])
 
 
-def _near(a: str, b: str) -> Column:
-    most = F.floor(F.greatest(F.length(a), F.length(b)) * EDITS).cast("int")
-    return (F.col(a) == F.col(b)) | (F.levenshtein(F.col(a), F.col(b)) <= most)
+def _most(a: str, b: str) -> Column:
+    return F.floor(F.greatest(F.length(a), F.length(b)) * EDITS).cast("int")
 
 
-def _close(a: str, b: str) -> Column:
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= RADIUS
+def _near(a: str, b: str) -> Column:
+    return (F.col(a) == F.col(b)) | (F.levenshtein(F.col(a), F.col(b)) <= _most(a, b))
 
 
 def boilerplate(sentences: DataFrame) -> DataFrame:
     """``(sentence)``: what stands below the signatures of ``SHARED_BY`` mails, in nearly these words."""
-    below = sentences.where("tail and print is not null").select("record_id", "sentence", "print").distinct().groupBy("sentence", "print").agg(F.count("*").alias("mails"))
-    keyed = below.select("sentence", "print", "mails", _blocks("print").alias("block"))
-    other = keyed.select(F.col("sentence").alias("other"), F.col("print").alias("other_print"), F.col("mails").alias("other_mails"), "block")
-    near = keyed.join(other, "block").where(_close("print", "other_print") & _near("sentence", "other")).select("sentence", "other", "other_mails").distinct()
+    below = sentences.where("tail and sentence is not null").select("record_id", "sentence").distinct().groupBy("sentence").agg(F.count("*").alias("mails"))
+    keyed = written(below.mapInPandas(_anchored, "sentence string, mails bigint, anchors array<bigint>")).select("sentence", "mails", F.explode("anchors").alias("anchor"))
+    other = keyed.select(F.col("sentence").alias("other"), F.col("mails").alias("other_mails"), "anchor")
+    met = keyed.join(other, "anchor").where(F.abs(F.length("sentence") - F.length("other")) <= _most("sentence", "other")).select("sentence", "other", "other_mails").distinct()
+    near = met.where(_near("sentence", "other"))
     return near.groupBy("sentence").agg(F.sum("other_mails").alias("n")).where(F.col("n") >= SHARED_BY).select("sentence")
 
 
 def inherited(sentences: DataFrame) -> DataFrame:
-    """``(sentence_id)`` of sentences that an earlier mail of the thread said in nearly these words."""
-    said = sentences.where("print is not null and thread is not null and position is not null").select("thread", "position", "sentence_id", "print")
-    spans = said.groupBy("thread").agg(F.min("position").alias("first"), F.max("position").alias("last")).where(F.col("first") < F.col("last"))
-    inside = said.join(spans, "thread")
-    later = inside.where(F.col("position") > F.col("first")).select("thread", "position", "sentence_id", "print", _blocks("print").alias("block"))
-    earlier = inside.where(F.col("position") < F.col("last")).select("thread", F.col("position").alias("before"), F.col("sentence_id").alias("said_id"), F.col("print").alias("said_print"), _blocks("print").alias("block"))
-    met = later.join(earlier, ["thread", "block"]).where((F.col("before") < F.col("position")) & _close("print", "said_print")).select("sentence_id", "said_id").distinct()
-    met = written(met)
-    texts = sentences.where("print is not null").select("sentence_id", "sentence")
-    both = texts.join(met, "sentence_id").join(texts.toDF("said_id", "said"), "said_id")
-    return both.where(_near("sentence", "said")).select("sentence_id").distinct()
+    """``(sentence_id)`` of sentences that an earlier mail of the thread said in nearly these words, with the same figures."""
+    said = sentences.where("print is not null and thread is not null and position is not null")
+    spans = said.groupBy("thread").agg(F.min("position").alias("begin"), F.max("position").alias("end")).where("begin < end").select("thread")
+    texts = said.join(spans, "thread").groupBy("thread", "figures", "sentence").agg(F.min("position").alias("first"), F.max("position").alias("last"), F.any_value("print").alias("print"))
+    texts = written(texts)
+    earlier = texts.select("thread", "figures", F.col("sentence").alias("said"), F.col("first").alias("since"), F.col("print").alias("said_print"))
+    most = _most("sentence", "said")
+    different = sum((F.bit_count(F.get("print", F.lit(k)).bitwiseXOR(F.get("said_print", F.lit(k)))) for k in range(4)), F.lit(0))
+    may = (F.col("since") < F.col("last")) & (F.abs(F.length("sentence") - F.length("said")) <= most) & (different <= 4 * most)
+    found = texts.join(earlier, ["thread", "figures"]).where(may & _near("sentence", "said")).groupBy("thread", "sentence").agg(F.min("since").alias("since"))
+    return said.join(found, ["thread", "sentence"]).where("position > since").select("sentence_id").distinct()
 
 
 def newly_written(mails: DataFrame) -> DataFrame:
@@ -137,7 +161,7 @@ def newly_written(mails: DataFrame) -> DataFrame:
     sentences = written(sentences)
     gone = inherited(sentences).withColumn("gone", F.lit(True))
     shared = written(boilerplate(sentences)).withColumn("shared", F.lit(True))
-    tails = sentences.where("tail and print is not null").select("sentence_id", "sentence").join(shared, "sentence").select("sentence_id").withColumn("gone", F.lit(True))
+    tails = sentences.where("tail and sentence is not null").select("sentence_id", "sentence").join(shared, "sentence").select("sentence_id").withColumn("gone", F.lit(True))
     dropped = written(gone.unionByName(tails).distinct())
     kept = sentences.select("record_id", "lines", "sentence_id").join(dropped, "sentence_id", "left_anti")
     return kept.select("record_id", F.explode("lines").alias("line_no")).distinct()
@@ -145,7 +169,7 @@ def newly_written(mails: DataFrame) -> DataFrame:
 
 def mail_texts(messages: DataFrame, extracted: DataFrame) -> DataFrame:
     """The bodies of messages and the texts of mail files, placed in their threads."""
-    bodies = messages.select(F.col("message_id").alias("record_id"), F.xxhash64("document_id").alias("thread"), F.col("message_index").alias("position"), F.lit(False).alias("headed"), "sender", F.col("body").alias("text"))
+    bodies = messages.select(F.col("message_id").alias("record_id"), F.when(F.col("document_id").isNotNull(), F.xxhash64("document_id")).alias("thread"), F.col("message_index").alias("position"), F.lit(False).alias("headed"), "sender", F.col("body").alias("text"))
     document = F.concat(F.lit("doc_"), F.sha2(F.col("source_path"), 256))
     files = extracted.where("is_email_thread").select(F.col("path").alias("record_id"), F.xxhash64(document).alias("thread"), F.size("messages").alias("position"), F.lit(True).alias("headed"), F.lit(None).cast("string").alias("sender"), "text")
     return bodies.unionByName(files)

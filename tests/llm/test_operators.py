@@ -127,6 +127,43 @@ def test_newly_written(spark):
     assert got == {**{f"m{k}": {1, 2} for k in range(6)}, "t1": {1}, "t2": {1}, "f": {4}}
 
 
+def test_inherited_against_edit_distance(spark):
+    """Every near-match in a thread by brute force; other figures and short sentences are written anew."""
+    rng = random.Random(3)
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    def edited(text):
+        for _ in range(rng.randint(1, int(len(text) * 0.2))):
+            k = rng.randrange(len(text) - 1)
+            text = text[:k] + rng.choice(["", "x", "qz"]) + text[k + rng.randint(0, 1) :]
+        return f"{text.strip(' .')}."
+
+    said = [" ".join(rng.choice(["ledger", "über", "freight", "invoice", "of", "to", "plant", "quarter", "nexus", "binder"]) + rng.choice(["", "s", "ing"]) for _ in range(rng.randint(6, 25))) + "." for _ in range(60)]
+    again = [edited(x) for x in said]
+    rows = [(f"a{k}", k % 7, 1, False, None, x) for k, x in enumerate(said)] + [(f"b{k}", k % 7, 2, False, None, x) for k, x in enumerate(again)]
+    rows += [("c1", 90, 1, False, None, "Hi both,\n\nThe ledger of plant 12 was closed in the third quarter."), ("c2", 90, 2, False, None, "Hi both,\n\nThe ledger of plant 13 was closed in the third quarter.")]
+    rows += [("d1", None, 1, False, None, said[0]), ("d2", None, 2, False, None, said[0])]
+    near = {f"b{k}" for k, x in enumerate(again) if any(edits(x, y) <= int(max(len(x), len(y)) * history.EDITS) for j, y in enumerate(said) if j % 7 == k % 7)}
+    assert 10 < len(near) < 55
+    got = {(r["record_id"], r["line_no"]) for r in history.newly_written(spark.createDataFrame(rows, "record_id string, thread bigint, position int, headed boolean, sender string, text string")).collect()}
+    assert {f"b{k}" for k in range(60)} - {r for r, _ in got} == near
+    assert {("c2", 1), ("c2", 3), ("d2", 1)} <= got
+
+
+def test_boilerplate_retyped_and_short(spark):
+    long = "Nobody outside of the {} may rely on this text in any way at all."
+    rows = [(f"m{k}", k, 1, False, "Ana Lopez", MAIL.replace("Nobody outside may rely on this text in any way at all.", f"{long.format(word)}\n\nDo not forward.")) for k, word in enumerate(["firm", "company", "office", "group", "plant"])]
+    got = {(r["record_id"], r["line_no"]) for r in history.newly_written(spark.createDataFrame(rows, "record_id string, thread bigint, position int, headed boolean, sender string, text string")).collect()}
+    assert got == {(f"m{k}", n) for k in range(5) for n in (1, 2)}
+
+
 # ---------------------------------------------------------------- 4
 
 
