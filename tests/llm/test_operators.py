@@ -288,6 +288,14 @@ def test_subjects_held_out(spark):
     assert subjects.document_subjects(frame, rated.where("false")).count() == 0
 
 
+def test_all_ratings_are_seeds(spark, monkeypatch):
+    monkeypatch.setattr(subjects, "MAX_LABELLED", 20)
+    labels = spark.createDataFrame([(k, "none" if k % 2 else "alpha", "r1") for k in range(100)], "doc_id bigint, subject string, labelled_by string")
+    assert {r["doc_id"] for r in subjects.seeds(labels).collect()} == set(range(0, 100, 2))
+    few = [r["doc_id"] for r in subjects.sampled(labels.select("doc_id")).collect()]
+    assert len(few) == 20 and 4 <= sum(k % 2 for k in few) <= 16
+
+
 # ---------------------------------------------------------------- queries
 
 
