@@ -288,6 +288,15 @@ def test_subjects_held_out(spark):
     assert subjects.document_subjects(frame, rated.where("false")).count() == 0
 
 
+def test_every_occurrence_is_an_edge():
+    known = np.sort(hash_words(["nexus", "payroll", "receipts"]).view(np.int64))
+    text = "the nexus payroll and the receipts nexus. no such words are here. all of the payroll payroll is due"
+    got = next(subjects._occurrences(known)(iter([pd.DataFrame({"doc_id": [1, 2], "text": [text, None]})])))
+    place = {w: int(np.searchsorted(known, hash_words([w]).view(np.int64)[0])) for w in ("nexus", "payroll", "receipts")}
+    assert set(zip(got["at"][0], got["terms"][0], strict=True)) == {(0, place["nexus"]), (0, place["payroll"]), (0, place["receipts"]), (2, place["payroll"])}
+    assert len(got["terms"][0]) == 4 and got["sentences"].tolist() == [3, 0] and not len(got["terms"][1])
+
+
 def test_all_ratings_are_seeds(spark, monkeypatch):
     monkeypatch.setattr(subjects, "MAX_LABELLED", 20)
     labels = spark.createDataFrame([(k, "none" if k % 2 else "alpha", "r1") for k in range(100)], "doc_id bigint, subject string, labelled_by string")
