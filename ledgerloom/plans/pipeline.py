@@ -25,12 +25,14 @@ def normalize(extracted: DataFrame) -> DataFrame:
     return rows.withColumn("content_hash", ids.content_hash(F.col("content")))
 
 
-def run(spark: SparkSession, folder: str, out: str, *, previous: DataFrame | None = None, force: bool = False, dry_run: bool = False, size: int = chunking.SIZE, overlap: int = chunking.OVERLAP, enrich: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def run(spark: SparkSession, folder: str, out: str, *, previous: DataFrame | None = None, previous_index: DataFrame | None = None, force: bool = False, dry_run: bool = False, size: int = chunking.SIZE, overlap: int = chunking.OVERLAP, enrich: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """List, extract, normalise, enrich and chunk a folder of files; each stage is a table below ``out``.
 
     Returns the status of each document: ``(document_id, status, chunks, error)``.  Unsupported files
-    are skipped, failures go on as rows, unchanged documents of ``previous`` are left unless forced;
-    a dry run stops after chunking.  Keys are stable, so a repeated stage writes the same rows.
+    are skipped, failures go on as rows; a dry run stops after chunking.  Unless forced, unchanged
+    documents of ``previous`` keep their chunks of ``previous_index`` and are cut anew where it has
+    none; chunks of changed and deleted documents go.  Each run writes the whole index, so ``out`` is
+    another folder than that of the run before.  Keys are stable, so a repeated stage writes the same rows.
     """
     listed = files.list_files(spark, folder)
     skipped = listed.where("not supported").select(ids.document_id(F.col("path")).alias("document_id"), F.lit("SKIPPED").alias("status"), F.lit(0).cast("bigint").alias("chunks"), F.lit(None).cast("string").alias("error"))
@@ -38,11 +40,13 @@ def run(spark: SparkSession, folder: str, out: str, *, previous: DataFrame | Non
     documents = spark.read.parquet(f"{out}/normalized")
     good = documents.where("error is null")
     same = index.unchanged(good, previous) if previous is not None and not force else good.where(F.lit(False))
-    todo = good.join(same.select("document_id"), "document_id", "left_anti")
+    kept = previous_index.join(same.select("document_id"), "document_id", "left_semi") if previous_index is not None else None
+    todo = good.join(kept.select("document_id").distinct(), "document_id", "left_anti") if kept is not None else good
     todo = enrich(todo) if enrich else todo
     plain = chunking.chunk_documents(todo.where("not is_email_thread or size(messages) = 0"), size, overlap).select("chunk_id", "document_id", "chunk_number", "total_chunks", "content", "token_count", "citation", "chunk_strategy")
     mails = todo.where("is_email_thread").select("document_id", "source_file", F.lit("n/a").alias("author"), F.explode("messages").alias("m")).select("document_id", "source_file", "author", "m.*")
     every = plain.unionByName(chunking.chunk_messages(mails, size, overlap).select(*plain.columns))
+    every = every.unionByName(kept.select(*plain.columns)) if kept is not None else every
     every.write.mode("overwrite").parquet(f"{out}/chunks")
     chunks = spark.read.parquet(f"{out}/chunks")
     counts = chunks.groupBy("document_id").agg(F.count("*").alias("chunks"))

@@ -28,6 +28,23 @@ def test_pipeline(spark, tmp_path):
     assert sum(r["status"] == "DRY_RUN" for r in dry) == 4 and not (tmp_path / "dry/index").exists()
 
 
+def test_rerun_keeps_the_index(spark, tmp_path):
+    folder, first, second, third = _folder(tmp_path / "in"), *(str(tmp_path / x) for x in ("first", "second", "third"))
+    pipeline.run(spark, folder, first, size=150, overlap=30)
+    read = lambda at, table: spark.read.parquet(f"{at}/{table}")
+    rows = lambda at: sorted(map(tuple, read(at, "index").select("chunk_id", "content").collect()))
+    for old in (read(first, "index"), None):
+        again = pipeline.run(spark, folder, second, previous=read(first, "normalized"), previous_index=old, size=150, overlap=30).collect()
+        assert rows(second) == rows(first) and all(r["chunks"] > 0 for r in again if r["status"] == "UNCHANGED")
+    (tmp_path / "in/memos/b.csv").write_text("x,y\n3,4\n")
+    (tmp_path / "in/memos/page.html").unlink()
+    status = {r["document_id"]: r["status"] for r in pipeline.run(spark, folder, third, previous=read(first, "normalized"), previous_index=read(first, "index"), size=150, overlap=30).collect()}
+    assert sorted(status.values()) == ["FAILED", "INDEXED", "SKIPPED", "UNCHANGED", "UNCHANGED"]
+    text = " ".join(c for _, c in rows(third))
+    assert "3" in text and "Two words" not in text and "Nexus analysis" in text
+    assert {r["document_id"] for r in read(third, "index").collect()} == {d for d, s in status.items() if s in ("INDEXED", "UNCHANGED")}
+
+
 def test_extra_extractor(spark, tmp_path):
     rows = files.extract_files(spark, _folder(tmp_path / "in"), {".docx": lambda content: ("text of a file", {})}).collect()
     assert next(r for r in rows if r["path"].endswith(".docx"))["text"] == "text of a file"
