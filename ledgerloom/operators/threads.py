@@ -5,10 +5,11 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerloom.functions.cleaning import clean_message_body
 from ledgerloom.functions.headers import display_name, is_junk, normalize_subject
 from ledgerloom.vocabulary import HEADER_LABELS, NA
 
@@ -111,10 +112,16 @@ def split_thread(text: pd.Series, subject: pd.Series) -> pd.Series:
     return pd.Series([split_messages(t, s) for t, s in zip(text, subject, strict=True)])
 
 
+def cleaned_messages(messages: DataFrame, key: str) -> DataFrame:
+    """``messages(key, m)`` with clean bodies; those that cleaning empties or leaves as junk go, the others are numbered anew."""
+    clean = clean_message_body(messages.select(key, "m.*"), "body").where(F.col("body").isNotNull() & (F.col("body") != "") & ~is_junk(F.col("sender"), F.col("body")))
+    number = F.row_number().over(Window.partitionBy(key).orderBy("message_index")).alias("message_index")
+    return clean.select(key, number, *(f.name for f in MESSAGE.fields[1:]))
+
+
 def thread_messages(threads: DataFrame) -> DataFrame:
-    """``threads(document_id, text, subject)`` to a row for each message."""
-    split = threads.select("document_id", F.explode(split_thread("text", "subject")).alias("m"))
-    return split.select("document_id", "m.*").where(~is_junk(F.col("sender"), F.col("body")))
+    """``threads(document_id, text, subject)`` to a row for each message, with clean bodies."""
+    return cleaned_messages(threads.select("document_id", F.explode(split_thread("text", "subject")).alias("m")), "document_id")
 
 
 def render_thread(messages: Column) -> Column:
@@ -161,8 +168,6 @@ def asof_backward(left: DataFrame, right: DataFrame, by: list[str], at: str, val
 
     A union and one ordered window: rows of a hot key spill, none is joined with all others.
     """
-    from pyspark.sql import Window
-
     keys = [*by, at]
     one = left.withColumns({f"_{v}": F.lit(None).cast(right.schema[v].dataType) for v in values} | {"_side": F.lit(1)})
     two = right.select(*keys, *(F.col(v).alias(f"_{v}") for v in values)).withColumn("_side", F.lit(0))

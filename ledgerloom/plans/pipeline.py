@@ -19,6 +19,10 @@ def normalize(extracted: DataFrame) -> DataFrame:
     is_thread = (kind == "email") | ((headers.thread_signals(F.coalesce("text", F.lit(""))) >= 1) & kind.isin("pdf", "docx", "text", "html", "markdown"))
     rows = rows.withColumn("is_email_thread", is_thread).withColumn("subject", F.regexp_extract("text", r"(?im)^subject:[ \t]*(.+?)[ \t]*$", 1))
     rows = rows.withColumn("messages", threads.split_thread("text", "subject"))
+    each = threads.cleaned_messages(rows.where("is_email_thread").select("path", F.explode("messages").alias("m")), "path")
+    clean = each.groupBy("path").agg(F.array_sort(F.collect_list(F.struct(*threads.MESSAGE.fieldNames()))).alias("clean"))
+    none = F.array().cast(rows.schema["messages"].dataType)
+    rows = rows.join(clean, "path", "left").withColumn("messages", F.when(F.col("is_email_thread"), F.coalesce("clean", none)).otherwise(F.col("messages"))).drop("clean")
     rows = cleaning.clean_document_text(rows.withColumn("content", F.col("text")))
     content = F.when(F.col("is_email_thread") & (F.size("messages") > 0), threads.render_thread(F.col("messages"))).otherwise(F.col("content"))
     rows = rows.withColumn("content", content).withColumn("error", F.coalesce("error", F.when(F.coalesce(F.col("content"), F.lit("")) == "", F.lit("the document is empty"))))

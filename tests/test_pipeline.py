@@ -45,6 +45,19 @@ def test_rerun_keeps_the_index(spark, tmp_path):
     assert {r["document_id"] for r in read(third, "index").collect()} == {d for d, s in status.items() if s in ("INDEXED", "UNCHANGED")}
 
 
+def test_mails_are_cleaned(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    body = "Please call 312-555-0142 about the nexus memo.\n\nBest regards,\nAna Lopez\nTax Manager\nAcme Ltd\n\nThis e-mail is confidential and intended only for you."
+    old = "From: Bo Roe <b@x.com>\nSent: Monday, August 17, 2026 9:02 AM\nTo: Ana Lopez <a@x.com>\nSubject: Nexus\n\nThis message is privileged and intended only for the addressee."
+    (tmp_path / "in/m.eml").write_text(f"Subject: Nexus\nFrom: Ana Lopez <a@x.com>\nTo: Bo <b@x.com>\nDate: Mon, 17 Aug 2026 10:02:11 -0500\n\n{body}\n\n{old}\n")
+    out = str(tmp_path / "out")
+    pipeline.run(spark, str(tmp_path / "in"), out)
+    row = spark.read.parquet(f"{out}/normalized").first()
+    for text in [row["content"], *(m["body"] for m in row["messages"]), *(r["content"] for r in spark.read.parquet(f"{out}/index").collect())]:
+        assert "nexus memo" in text or "removed" in text
+        assert not any(x in text for x in ("312-555", "Tax Manager", "confidential", "privileged"))
+
+
 def test_extra_extractor(spark, tmp_path):
     rows = files.extract_files(spark, _folder(tmp_path / "in"), {".docx": lambda content: ("text of a file", {})}).collect()
     assert next(r for r in rows if r["path"].endswith(".docx"))["text"] == "text of a file"
