@@ -351,6 +351,13 @@ def q8b_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top(scores, "vector_score", "vec_id", 10).select("vec_id", F.round("vector_score", 6).alias("score"))
 
 
+@query()
+def q8c_vector_topk_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten vectors nearest to every vector whose id is divisible by 50, exactly."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return search.vector_top(vectors.where("vec_id % 50 = 0"), vectors, 10).select("query_id", "vec_id", "rank", F.round("vector_score", 6).alias("score"))
+
+
 _WORDS_DOC = _WORDS.format("text")
 _DOC_TERMS = ["binder", "auditor", "payroll"]
 

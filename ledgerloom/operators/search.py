@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +19,8 @@ K1, B = 1.2, 0.75
 #: The constant of reciprocal rank fusion (Cormack, Clarke, Buettcher 2009).
 FUSION = 60
 BOOST = 0.5
+#: Vectors compared at once in a task.
+BLOCK = 1_000
 
 
 @dataclass(frozen=True)
@@ -115,6 +120,41 @@ def vector_scores(vectors: DataFrame, query: list[float], key: str = "vec_id", c
     return vectors.select(key, cosine(F.col(column), target).alias("vector_score")).where("vector_score is not null")
 
 
+def _blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        for width, same in batch.groupby(batch["vector"].map(len)):
+            for k in range(0, len(same), BLOCK):
+                part = same.iloc[k : k + BLOCK]
+                yield pd.DataFrame({"keys": [part["key"].to_numpy()], "vectors": [np.concatenate(part["vector"].tolist())], "width": [width]})
+
+
+def _best_of_blocks(k: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for keys, vectors, asked, queries, width in zip(batch["keys"], batch["vectors"], batch["asked"], batch["queries"], batch["width"], strict=True):
+                v, q = (np.asarray(x, np.float64).reshape(-1, width) for x in (vectors, queries))
+                scores = (q / np.linalg.norm(q, axis=1)[:, None]) @ (v / np.linalg.norm(v, axis=1)[:, None]).T
+                order = np.lexsort((np.broadcast_to(keys, scores.shape), -scores), axis=1)[:, :k]
+                yield pd.DataFrame({"query_id": np.repeat(asked, order.shape[1]), "key": np.asarray(keys)[order].ravel(), "vector_score": np.take_along_axis(scores, order, axis=1).ravel()})
+
+    return run
+
+
+def vector_top(queries: DataFrame, vectors: DataFrame, k: int, key: str = "vec_id", column: str = "embedding") -> DataFrame:
+    """``(query_id, key, vector_score, rank)``: the ``k`` vectors nearest to each query, exactly, ties by key.
+
+    Blocks of queries meet blocks of vectors in tasks, which keep ``k`` of each block for a query; the
+    work is that of all pairs.  NULL and null vectors have no neighbours, nor have those of other widths.
+    """
+    fit = lambda df: df.select(F.col(key).cast("bigint").alias("key"), F.col(column).alias("vector")).where(f"key is not null and size(vector) > 0 and exists(vector, v -> v <> 0) and not exists(vector, v -> v is null)")
+    block = lambda df: fit(df).mapInPandas(_blocks, "keys array<bigint>, vectors array<float>, width int")
+    asked = block(queries).select(F.col("keys").alias("asked"), F.col("vectors").alias("queries"), F.col("width").alias("query_width"))
+    met = block(vectors).crossJoin(asked).where("width <= query_width and width >= query_width").drop("query_width")
+    best = met.mapInPandas(_best_of_blocks(k), "query_id bigint, key bigint, vector_score double")
+    order = Window.partitionBy("query_id").orderBy(F.desc("vector_score"), "key")
+    return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).withColumnRenamed("key", key)
+
+
 def top(scores: DataFrame, score: str, key: str, k: int) -> DataFrame:
     """The ``k`` best, ties by key, with their rank: a limit first, so that ranks need one small window."""
     best = scores.orderBy(F.desc(score), key).limit(k)

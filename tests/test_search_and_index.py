@@ -82,3 +82,15 @@ def test_invented(spark):
     claims = spark.createDataFrame([("r", "SRC-9"), ("r", "SRC-9999")], "request_id string, source_id string")
     known = spark.createDataFrame([("r", "SRC-9")], "request_id string, source_id string")
     assert [r["source_id"] for r in search.invented_citations(claims, known).collect()] == ["SRC-9999"]
+
+
+def test_vector_top_of_many_queries(spark):
+    rows = [(k, [float((k * j * 37 + j) % 11 - 5) for j in range(1, 9)]) for k in range(230)] + [(300, None), (350, [0.0] * 8), (400, [1.0, 2.0])]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(3)
+    got = {}
+    for r in search.vector_top(vectors.where("vec_id % 50 = 0"), vectors, 5).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], round(r["vector_score"], 6)))
+    assert set(got) == {0, 50, 100, 150, 200, 400} and [x[1] for x in got[400]] == [400]
+    for q in (0, 50, 200):
+        want = sorted((-r["vector_score"], r["vec_id"]) for r in search.vector_scores(vectors, rows[q][1]).collect())[:5]
+        assert [x[2] for x in sorted(got[q])] == [round(-s, 6) for s, _ in want]
