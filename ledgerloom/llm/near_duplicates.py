@@ -141,7 +141,8 @@ def candidates(sketches: DataFrame) -> DataFrame:
 def links(records: DataFrame, member: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(kind, digest_a, digest_b, similarity)``: pairs of different texts of one kind, by the digests of their classes."""
     texts = _digested(records)
-    pairs = candidates(texts.mapInPandas(_sketch, SKETCH))
+    # one sketch for each class, else copies would meet on every anchor
+    pairs = candidates(texts.mapInPandas(_sketch, SKETCH).dropDuplicates(["row_hash"]))
     heads = member.where("id = representative").select("row_hash", "kind", "digest", "id")
     known = pairs.join(heads.toDF("hash_a", "kind", "digest_a", "id_a"), "hash_a").join(heads.toDF("hash_b", "kind_b", "digest_b", "id_b"), "hash_b").where("kind = kind_b")
     left = texts.select("id", "digest", "text").toDF("id_a", "digest_a", "text_a")

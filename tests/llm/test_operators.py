@@ -66,6 +66,18 @@ def test_large_class_is_a_star(spark, monkeypatch):
     assert near_duplicates.near_duplicate_pairs(frame.where("false")).count() == 0
 
 
+def test_copies_meet_once(spark, monkeypatch):
+    text = sentence(80)
+    near = [" ".join([*text.split()[:-k], *sentence(k).split()]) for k in (3, 5)]
+    rows = [("mail", f"c{k:03}", text) for k in range(100)] + [("mail", f"n{k}", x) for k, x in enumerate(near)] + [("mail", f"o{k}", sentence(80)) for k in range(150)]
+    records = spark.createDataFrame(rows, "kind string, id string, text string")
+    seen, candidates = [], near_duplicates.candidates
+    monkeypatch.setattr(near_duplicates, "candidates", lambda sketches: seen.append(sketches.count()) or candidates(sketches))
+    got = {(r["id_a"], r["id_b"]) for r in near_duplicates.near_duplicate_pairs(records).collect()}
+    assert seen == [153]
+    assert {("c000", f"c{k:03}") for k in range(1, 100)} <= got and {("c000", "n0"), ("c000", "n1"), ("n0", "n1")} <= got
+
+
 # ---------------------------------------------------------------- 2
 
 
