@@ -9,7 +9,8 @@ A codeword has only 12 bits, far too few for a key of its own among millions of
 similarity asked for (0.6) every eighth bit differs, so that keys of several segments would hardly
 ever meet.  Each band therefore has an anchor, the minima of ``ROWS`` hash functions over the
 three-word sequences: texts meet on the anchor and must have one of their codewords in common
-there (a row for each codeword would triple the shuffle).  Two bits of each of 64 minima, kept in
+there: the join on (anchor, codeword) is made as one on the anchor with the six codewords packed
+into the row, as a row for each codeword would be five times as many.  Bits of 64 minima, kept in
 the same row, drop the pairs that cannot be similar enough (``MAX_DIFFERENT`` lies four standard
 deviations above what a similarity of 0.6 gives).  The rest is verified exactly on whole texts.
 
@@ -28,25 +29,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.session import cut_lineage
 
-from .golay import KEYS, near_codewords
-from .words import hash_words, mix, spark_words, words_of
+from .golay import DATA, KEYS, near_codewords
+from .words import hash_words, in_slabs, mix, shingle_hashes, words_of
 
 SHINGLE = 3
 SIMILARITY = 0.6
 MIN_WORDS = 40
 BANDS, ROWS = 26, 3
-#: Of the 128 bits of two texts that are similar enough, at most so many differ.
-MAX_DIFFERENT = 47
+#: Bits of minima that travel with a text: a word of 64, and 52 beside a codeword.
+BITS = (64, 52)
+#: Of these bits of two texts that are similar enough, at most so many differ.
+MAX_DIFFERENT = 43
 EXPAND = 64
-#: Words sketched at once in a task.
-SLAB = 20_000
+#: Words sketched, and records taken apart, at once in a task.
+SLAB, RECORDS = 20_000, 250
 
-SKETCH = "kind string, id string, row_hash bigint, digest string, anchors array<bigint>, codewords array<smallint>, low_bits bigint, high_bits bigint"
+SKETCH = "row_hash bigint, anchors array<bigint>, codewords array<bigint>, mixed array<bigint>, bits bigint"
 
 
 def _segments(hashes: np.ndarray, owner: np.ndarray, texts: int) -> np.ndarray:
@@ -74,7 +77,7 @@ def _minima(hashes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.n
 
 
 def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
+    for batch in in_slabs(batches, RECORDS):
         words = [words_of(t) for t in batch["text"]]
         sizes = np.array([len(w) for w in words], np.int64)
         fit = np.flatnonzero(sizes >= MIN_WORDS)
@@ -86,83 +89,85 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             hashes = hash_words([w for i in at for w in words[i]])
             minima = _minima(hashes, starts, lengths)
             segments = _segments(hashes, np.repeat(np.arange(len(at)), lengths), len(at))
-            anchors = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64), (len(at), 1))
+            # texts of one kind only meet
+            kinds = hash_words(list(batch["kind"].iloc[at]))
+            anchors = mix(kinds[:, None] + np.arange(1, BANDS + 1, dtype=np.uint64))
             for k in range(ROWS):
                 anchors = mix(anchors + minima[:, k::ROWS])
             near = near_codewords(segments.ravel())
-            near = np.where(near < 0, near[:, :1], near).astype(np.int16).reshape(len(at), -1)
-            low, high = (np.packbits((minima[:, :64] >> np.uint64(k) & np.uint64(1)).astype(bool), axis=1).view(np.int64).ravel() for k in (20, 40))
-            sketch = {"anchors": list(anchors.view(np.int64)), "codewords": list(near), "low_bits": low, "high_bits": high}
-            yield batch.iloc[at][["kind", "id", "row_hash", "digest"]].assign(**sketch)
+            near = np.where(near < 0, near[:, :1], near).astype(np.uint64).reshape(len(at), BANDS, KEYS)
+            five = sum(near[:, :, k] << np.uint64(DATA * k) for k in range(KEYS - 1))
+            low, high = (np.packbits((minima[:, :64] >> np.uint64(k) & np.uint64(1)).astype(bool), axis=1).view(np.uint64).ravel() for k in (20, 40))
+            sixth = near[:, :, KEYS - 1] | (high << np.uint64(DATA))[:, None]
+            sketch = {"anchors": list(anchors.view(np.int64)), "codewords": list(five.view(np.int64)), "mixed": list(sixth.view(np.int64)), "bits": low.view(np.int64)}
+            yield batch.iloc[at][["row_hash"]].assign(**sketch)
 
 
 def _verify(similarity: float):
-    def sequences(words: list[str]) -> set[tuple[str, ...]]:
-        return set(zip(words, words[1:], words[2:], strict=False))
-
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            seen: dict[str, set] = {}
+        for batch in in_slabs(batches, RECORDS):
+            seen: dict[int, np.ndarray] = {}
             values = []
-            for a, b in zip(batch["text_a"], batch["text_b"], strict=True):
-                for t in (a, b):
-                    if t not in seen:
-                        seen[t] = sequences(words_of(t))
-                both = len(seen[a] & seen[b])
+            for a, b, text_a, text_b in zip(*(batch[c] for c in ("hash_a", "hash_b", "text_a", "text_b")), strict=True):
+                for key, text in ((a, text_a), (b, text_b)):
+                    if key not in seen:
+                        seen[key] = np.unique(shingle_hashes(hash_words(words_of(text)), SHINGLE))
+                both = len(np.intersect1d(seen[a], seen[b], assume_unique=True))
                 values.append(both / (len(seen[a]) + len(seen[b]) - both))
-            kept = batch[["kind", "digest_a", "digest_b"]].assign(similarity=values)
+            kept = batch[["hash_a", "hash_b"]].assign(similarity=values)
             yield kept[kept["similarity"] >= similarity - 1e-12]
 
     return run
 
 
 def _digested(records: DataFrame) -> DataFrame:
-    texts = records.where("id is not null and text is not null").withColumn("digest", F.md5(F.encode("text", "UTF-8")))
-    return texts.select("kind", "id", F.xxhash64("kind", "digest").alias("row_hash"), "digest", "text")
+    """``(kind, id, row_hash, text)``: the hash is that of the kind and the whole text."""
+    texts = records.where("id is not null and text is not null")
+    return texts.select("kind", "id", F.xxhash64("kind", F.md5(F.encode("text", "UTF-8"))).alias("row_hash"), "text")
 
 
 def classes(records: DataFrame) -> DataFrame:
-    """``(kind, id, row_hash, digest, representative, copies)``: the class of exact copies of each record that is long enough."""
-    long_enough = _digested(records).where(F.size(spark_words(F.col("text"))) >= MIN_WORDS)
-    marked = long_enough.select("kind", "id", "row_hash", "digest").distinct()
-    heads = marked.groupBy("kind", "digest").agg(F.min("id").alias("representative"), F.count("*").alias("copies"))
-    return marked.join(heads, ["kind", "digest"])
+    """``(kind, id, row_hash, representative, copies)``: the class of exact copies of each record that is long enough."""
+    long_enough = _digested(records).where(F.regexp_count(F.lower("text"), F.lit(r"[\p{L}\p{N}]+")) >= MIN_WORDS)
+    marked = long_enough.select("kind", "id", "row_hash").distinct()
+    heads = marked.groupBy("row_hash").agg(F.min("id").alias("representative"), F.count("*").alias("copies"))
+    return marked.join(heads, "row_hash")
+
+
+def _codewords(side: str) -> Column:
+    """The six codewords of a segment: five in one word, the last in the low bits of another."""
+    five = (F.shiftrightunsigned(F.col(f"{side}.codewords"), DATA * k).bitwiseAND(F.lit((1 << DATA) - 1)) for k in range(KEYS - 1))
+    return F.array(*five, F.col(f"{side}.mixed").bitwiseAND(F.lit((1 << DATA) - 1)))
 
 
 def candidates(sketches: DataFrame) -> DataFrame:
     """``(hash_a, hash_b)``: texts that meet on an anchor, share a codeword there and may be similar enough."""
-    bands = sketches.select("row_hash", "low_bits", "high_bits", "codewords", F.posexplode("anchors").alias("band", "anchor"))
-    keyed = bands.select("row_hash", "low_bits", "high_bits", "anchor", F.slice("codewords", F.col("band") * KEYS + 1, F.lit(KEYS)).alias("codewords"))
-    different = F.bit_count(F.col("a.low_bits").bitwiseXOR(F.col("b.low_bits"))) + F.bit_count(F.col("a.high_bits").bitwiseXOR(F.col("b.high_bits")))
-    met = keyed.alias("a").join(keyed.alias("b"), "anchor").where((F.col("a.row_hash") < F.col("b.row_hash")) & (different <= MAX_DIFFERENT) & F.arrays_overlap("a.codewords", "b.codewords"))
+    bands = sketches.select("row_hash", "bits", F.inline(F.arrays_zip("anchors", "codewords", "mixed")).alias("anchor", "codewords", "mixed"))
+    differ = lambda x, drop=0: F.bit_count(F.shiftrightunsigned(F.col(f"a.{x}").bitwiseXOR(F.col(f"b.{x}")), drop))
+    may = (F.col("a.row_hash") < F.col("b.row_hash")) & (differ("bits") + differ("mixed", DATA) <= MAX_DIFFERENT)
+    met = bands.alias("a").join(bands.alias("b"), "anchor").where(may & F.arrays_overlap(_codewords("a"), _codewords("b")))
     return met.select(F.col("a.row_hash").alias("hash_a"), F.col("b.row_hash").alias("hash_b")).distinct()
 
 
-def links(records: DataFrame, member: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``(kind, digest_a, digest_b, similarity)``: pairs of different texts of one kind, by the digests of their classes."""
-    texts = _digested(records)
-    # one sketch for each class, else copies would meet on every anchor
-    pairs = candidates(texts.mapInPandas(_sketch, SKETCH).dropDuplicates(["row_hash"]))
-    heads = member.where("id = representative").select("row_hash", "kind", "digest", "id")
-    known = pairs.join(heads.toDF("hash_a", "kind", "digest_a", "id_a"), "hash_a").join(heads.toDF("hash_b", "kind_b", "digest_b", "id_b"), "hash_b").where("kind = kind_b")
-    left = texts.select("id", "digest", "text").toDF("id_a", "digest_a", "text_a")
-    right = texts.select("id", "digest", "text").toDF("id_b", "digest_b", "text_b")
-    both = known.join(left, ["id_a", "digest_a"]).join(right, ["id_b", "digest_b"]).select("kind", "digest_a", "digest_b", "text_a", "text_b")
-    return both.mapInPandas(_verify(similarity), "kind string, digest_a string, digest_b string, similarity double").dropDuplicates(["kind", "digest_a", "digest_b"])
+def links(records: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """``(hash_a, hash_b, similarity)``: pairs of different texts of one kind, by the hashes of their classes."""
+    # one text for each class, moved once: the sketches and both sides of the verification read the same exchange
+    heads = _digested(records).select("row_hash", "kind", "text").dropDuplicates(["row_hash"])
+    pairs = candidates(heads.mapInPandas(_sketch, SKETCH))
+    left, right = heads.toDF("hash_a", "kind_a", "text_a"), heads.toDF("hash_b", "kind_b", "text_b")
+    both = pairs.join(left, "hash_a").join(right, "hash_b").where("kind_a = kind_b").select("hash_a", "hash_b", "text_a", "text_b")
+    return both.mapInPandas(_verify(similarity), "hash_a bigint, hash_b bigint, similarity double")
 
 
 def near_duplicate_pairs(records: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(kind, id_a, id_b)`` of records of one kind that say nearly the same, the smaller id first."""
     member = cut_lineage(classes(records))
-    found = cut_lineage(links(records, member, similarity))
-    shown = member.where((F.col("copies") <= EXPAND) | (F.col("id") == F.col("representative"))).select("kind", "digest", "id")
-    across = (
-        found.join(shown.select("kind", F.col("digest").alias("digest_a"), F.col("id").alias("x")), ["kind", "digest_a"])
-        .join(shown.select("kind", F.col("digest").alias("digest_b"), F.col("id").alias("y")), ["kind", "digest_b"])
-        .select("kind", "x", "y")
-    )
+    found = cut_lineage(links(records, similarity))
+    shown = member.where((F.col("copies") <= EXPAND) | (F.col("id") == F.col("representative"))).select("row_hash", "kind", "id")
+    one, two = shown.select(F.col("row_hash").alias("hash_a"), "kind", F.col("id").alias("x")), shown.select(F.col("row_hash").alias("hash_b"), F.col("id").alias("y"))
+    across = found.join(one, "hash_a").join(two, "hash_b").select("kind", "x", "y")
     few = member.where(F.col("copies").between(2, EXPAND))
-    within = few.select("kind", "digest", F.col("id").alias("x")).join(few.select("kind", "digest", F.col("id").alias("y")), ["kind", "digest"]).where("x < y").select("kind", "x", "y")
+    within = few.select("row_hash", "kind", F.col("id").alias("x")).join(few.select("row_hash", F.col("id").alias("y")), "row_hash").where("x < y").select("kind", "x", "y")
     star = member.where((F.col("copies") > EXPAND) & (F.col("id") != F.col("representative"))).select("kind", F.col("representative").alias("x"), F.col("id").alias("y"))
     every = across.unionByName(within).unionByName(star).where("x <> y")
     return every.select("kind", F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
