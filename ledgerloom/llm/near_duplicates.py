@@ -48,6 +48,8 @@ MAX_DIFFERENT = 43
 EXPAND = 64
 #: Words sketched, and records taken apart, at once in a task.
 SLAB, RECORDS = 20_000, 250
+#: A task forgets which texts it has sketched, and the sequences of texts, when it holds so many; the first are only a thinning, the others a cache.
+SEEN, CACHE = 200_000, 4_000
 
 SKETCH = "row_hash bigint, anchors array<bigint>, codewords array<bigint>, mixed array<bigint>, bits bigint"
 
@@ -77,7 +79,12 @@ def _minima(hashes: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.n
 
 
 def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    known: set[int] = set()
     for batch in in_slabs(batches, RECORDS):
+        # copies within a task are sketched once, so that no text of many records is a hot key
+        batch = batch[~batch["row_hash"].isin(known)].drop_duplicates("row_hash", ignore_index=True)
+        known = known if len(known) < SEEN else set()
+        known.update(batch["row_hash"])
         words = [words_of(t) for t in batch["text"]]
         sizes = np.array([len(w) for w in words], np.int64)
         fit = np.flatnonzero(sizes >= MIN_WORDS)
@@ -105,8 +112,9 @@ def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _verify(similarity: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen: dict[int, np.ndarray] = {}
         for batch in in_slabs(batches, RECORDS):
-            seen: dict[int, np.ndarray] = {}
+            seen = seen if len(seen) < CACHE else {}
             values = []
             for a, b, text_a, text_b in zip(*(batch[c] for c in ("hash_a", "hash_b", "text_a", "text_b")), strict=True):
                 for key, text in ((a, text_a), (b, text_b)):
@@ -142,7 +150,9 @@ def _codewords(side: str) -> Column:
 
 def candidates(sketches: DataFrame) -> DataFrame:
     """``(hash_a, hash_b)``: texts that meet on an anchor, share a codeword there and may be similar enough."""
+    # one exchange by anchor serves the removal of copies and both sides of the join
     bands = sketches.select("row_hash", "bits", F.inline(F.arrays_zip("anchors", "codewords", "mixed")).alias("anchor", "codewords", "mixed"))
+    bands = bands.repartition("anchor").dropDuplicates(["anchor", "row_hash"])
     differ = lambda x, drop=0: F.bit_count(F.shiftrightunsigned(F.col(f"a.{x}").bitwiseXOR(F.col(f"b.{x}")), drop))
     may = (F.col("a.row_hash") < F.col("b.row_hash")) & (differ("bits") + differ("mixed", DATA) <= MAX_DIFFERENT)
     met = bands.alias("a").join(bands.alias("b"), "anchor").where(may & F.arrays_overlap(_codewords("a"), _codewords("b")))
@@ -151,11 +161,12 @@ def candidates(sketches: DataFrame) -> DataFrame:
 
 def links(records: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``(hash_a, hash_b, similarity)``: pairs of different texts of one kind, by the hashes of their classes."""
-    # one text for each class, moved once: the sketches and both sides of the verification read the same exchange
-    heads = _digested(records).select("row_hash", "kind", "text").dropDuplicates(["row_hash"])
-    pairs = candidates(heads.mapInPandas(_sketch, SKETCH))
-    left, right = heads.toDF("hash_a", "kind_a", "text_a"), heads.toDF("hash_b", "kind_b", "text_b")
-    both = pairs.join(left, "hash_a").join(right, "hash_b").where("kind_a = kind_b").select("hash_a", "hash_b", "text_a", "text_b")
+    texts = _digested(records).select("row_hash", "kind", "text")
+    pairs = candidates(texts.mapInPandas(_sketch, SKETCH))
+    # one text for each class, moved once: both sides of the verification read the same exchange
+    heads = texts.select("row_hash", "text").dropDuplicates(["row_hash"])
+    left, right = heads.toDF("hash_a", "text_a"), heads.toDF("hash_b", "text_b")
+    both = pairs.join(left, "hash_a").join(right, "hash_b").select("hash_a", "hash_b", "text_a", "text_b")
     return both.mapInPandas(_verify(similarity), "hash_a bigint, hash_b bigint, similarity double")
 
 

