@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions import cleaning, headers, ids
 from ledgerloom.operators import chunking, evaluation, index, instants, providers, search, threads
 from ledgerloom.registry import ORACLE_SQL, QUERIES, query
-from ledgerloom.session import table
+from ledgerloom.session import spread, table
 from ledgerloom.vocabulary import DOCUMENT_TYPES, JURISDICTIONS, NA, SOURCE_TYPES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
@@ -150,7 +150,7 @@ def c12_repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def c14_clean_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mails after all steps of cleaning."""
-    return cleaning.clean_message_body(table(spark, sf_dir, "email_messages").select("message_id", "ingested_ts", F.col("body").alias("clean")), "clean")
+    return cleaning.clean_message_body(spread(table(spark, sf_dir, "email_messages").select("message_id", "ingested_ts", F.col("body").alias("clean"))), "clean")
 
 
 @query()

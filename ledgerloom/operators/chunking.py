@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -24,64 +25,67 @@ def token_count(text: Column) -> Column:
     return F.greatest(F.lit(1), F.floor(F.char_length(text) / CHARS_PER_TOKEN)).cast("int")
 
 
-def _tokens(text: str) -> int:
-    return max(1, len(text) // CHARS_PER_TOKEN)
+_GAP = re.compile(r"\n\s*\n")
+_SENTENCE_GAP = re.compile(r"(?<=[.!?])\s+")
 
 
-def units_of(text: str, size: int) -> list[str]:
-    """Paragraphs; those above ``size`` as runs of sentences, a last run above it as slices."""
-    out: list[str] = []
-    for block in (b.strip() for b in re.split(r"\n\s*\n", text)):
-        if not block:
-            continue
-        if _tokens(block) <= size:
-            out.append(block)
+def _between(text: str, gaps: re.Pattern, begin: int, end: int) -> np.ndarray:
+    """The spans, one a row, that the gaps leave of ``text[begin:end]``, without blanks at their edges; blank ones go."""
+    cuts = [(m.start(), m.end()) for m in gaps.finditer(text, begin, end)]
+    edges = np.array([begin, *(x for cut in cuts for x in cut), end], np.int64).reshape(-1, 2)
+    inner = [text[x:y] for x, y in edges]
+    lead = np.array([len(x) - len(x.lstrip()) for x in inner], np.int64)
+    size = np.array([len(x.strip()) for x in inner], np.int64)
+    return np.stack([edges[:, 0] + lead, edges[:, 0] + lead + size], axis=1)[size > 0]
+
+
+def _tokens(sizes: np.ndarray) -> np.ndarray:
+    return np.maximum(sizes // CHARS_PER_TOKEN, 1)
+
+
+def _units(text: str, size: int) -> list[tuple[int, str]]:
+    """Where each unit begins, and its text: paragraphs, and of those above ``size`` runs of their sentences.
+
+    A run ends where the prefix sums of sentence lengths pass the size; the last run of a paragraph
+    is sliced if it alone is too long.
+    """
+    out = []
+    for begin, end in _between(text, _GAP, 0, len(text)):
+        if (end - begin) // CHARS_PER_TOKEN <= size:
+            out.append((int(begin), text[begin:end]))
             continue
-        held = ""
-        for sentence in re.split(r"(?<=[.!?])\s+", block):
-            joined = f"{held} {sentence}".strip()
-            if held and _tokens(joined) > size:
-                out.append(held)
-                held = sentence
+        sentences = _between(text, _SENTENCE_GAP, begin, end)
+        # joined by one blank: a run of sentences i..j has reach[j] - reach[i] - 1 characters
+        reach = np.concatenate([[0], np.cumsum(sentences[:, 1] - sentences[:, 0] + 1)])
+        room, first = (size + 1) * CHARS_PER_TOKEN, 0
+        while first < len(sentences):
+            after = max(first + 1, int(np.searchsorted(reach, reach[first] + room, "right")) - 1)
+            run = " ".join(text[x:y] for x, y in sentences[first:after])
+            at, first = int(sentences[first, 0]), after
+            if first < len(sentences) or len(run) < room:
+                out.append((at, run))
             else:
-                held = joined
-        step = size * CHARS_PER_TOKEN
-        out += [held] if _tokens(held) <= size else [held[k : k + step] for k in range(0, len(held), step)]
+                step = size * CHARS_PER_TOKEN
+                out += [(at + k, part) for k in range(0, len(run), step) if (part := run[k : k + step].strip())]
     return out
 
 
-def pack_units(units: list[str], size: int, overlap: int) -> list[str]:
-    """Units filled into chunks; each begins with the whole units of the one before that fit the overlap."""
-    chunks: list[list[str]] = []
-    held: list[str] = []
-    total = 0
-    for unit in units:
-        n = _tokens(unit)
-        if held and total + n > size:
-            chunks.append(held)
-            carried: list[str] = []
-            room = overlap
-            for u in reversed(held):
-                if _tokens(u) > room:
-                    break
-                carried.insert(0, u)
-                room -= _tokens(u)
-            held, total = carried, sum(map(_tokens, carried))
-        held = [*held, unit]
-        total += n
-    return ["\n\n".join(c) for c in [*chunks, held] if c]
-
-
 def pieces_of(text: str | None, size: int = SIZE, overlap: int = OVERLAP) -> list[dict]:
-    """The chunks of a text and where they begin; NULL and blank texts have none."""
-    if not text or not text.strip():
+    """The chunks of a text and where they begin; NULL and blank texts have none.
+
+    A chunk is a range of units: it ends before the unit that passes the size, and the next one
+    begins with the longest suffix of the range whose tokens the overlap holds.
+    """
+    units = _units(text, size) if text else []
+    if not units:
         return []
-    cursor, out = 0, []
-    for piece in pack_units(units_of(text, size), size, overlap):
-        at = text.find(piece[:80], cursor)
-        start = at if at >= 0 else cursor
-        cursor = start + 1
-        out.append({"content": piece, "char_start": start, "token_count": _tokens(piece)})
+    total = np.concatenate([[0], np.cumsum(_tokens(np.array([len(u) for _, u in units])))])
+    out, first, past = [], 0, 0
+    while past < len(units):
+        past = max(past + 1, int(np.searchsorted(total, total[first] + size, "right")) - 1)
+        content = "\n\n".join(u for _, u in units[first:past])
+        out.append({"content": content, "char_start": units[first][0], "token_count": max(len(content) // CHARS_PER_TOKEN, 1)})
+        first = max(first, int(np.searchsorted(total, total[past] - overlap, "left")))
     return out
 
 
@@ -97,6 +101,17 @@ def chunk_pieces(size: int = SIZE, overlap: int = OVERLAP):
     return cut
 
 
+def enrichment_guard(documents: DataFrame, required: bool = True) -> DataFrame:
+    """``documents(enrichment_status)`` with ``guard_error`` where the enrichment that chunking requires is missing."""
+    missing = F.lit(required) & (F.coalesce("enrichment_status", F.lit("")) != "ok")
+    return documents.withColumn("guard_error", F.when(missing, F.concat(F.lit("not enriched: "), known(F.col("enrichment_status")))))
+
+
+def found_at(piece: Column, content: Column, shown: int = 60) -> Column:
+    """Where a message's piece begins in the text of its document, by its first characters; 0 where it is not found."""
+    return F.greatest(F.lit(0), F.position(F.substring(piece, 1, shown), content) - 1)
+
+
 def chunk_documents(documents: DataFrame, size: int = SIZE, overlap: int = OVERLAP) -> DataFrame:
     """``documents(document_id, source_file, content)`` to chunks with stable keys and citations."""
     cut = documents.withColumn("pieces", chunk_pieces(size, overlap)("content"))
@@ -137,6 +152,7 @@ def chunk_messages(messages: DataFrame, size: int = SIZE, overlap: int = OVERLAP
         token_count(content).alias("token_count"),
         F.when(F.col("sender").isin("", NA) | F.col("sender").isNull(), known(F.col("author"))).otherwise(F.col("sender")).alias("author"),
         "message_index",
+        F.col("piece.content").alias("piece"),
         message_citation(F.col("source_file"), F.col("message_index"), F.col("page_number"), F.col("part"), F.col("parts")).alias("citation"),
         F.lit("email_message").alias("chunk_strategy"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -24,6 +25,7 @@ def ship_package(spark: SparkSession) -> None:
         for source in sorted(root.rglob("*.py")):
             packed.write(source, source.relative_to(root.parent))
     context.addPyFile(str(file))
+    atexit.register(shutil.rmtree, file.parent, True)
     _shipped.add(context.applicationId)
 
 
@@ -37,10 +39,19 @@ def _checkpoint_dir(spark: SparkSession) -> str:
     """The folder that all executors share: what the cluster names, or one of our own where it names none."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="ledgerloom-"))
+        named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not context.master.split("[")[0] == "local":
+            raise ValueError("a cluster must name a shared folder in spark.checkpoint.dir")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="ledgerloom-"))
     return context.getCheckpointDir()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` for work in Python: a table of fewer partitions than the cluster has cores is dealt out, a larger one stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """A copy of ``df`` in reliable storage, without its lineage."""
     _checkpoint_dir(df.sparkSession)
