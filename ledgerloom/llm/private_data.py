@@ -1,13 +1,16 @@
 """Mail addresses, phones, identity numbers, street addresses and names of people in free text.
 
-An Aho-Corasick automaton over the text finds *anchors*: at-signs in their spellings, street and
-box words, honorifics and identity cues.  Around each anchor a deterministic local parser expands
-to the boundaries of the value and validates it; runs of digits are anchors of their own.  Names
-are anchored by the given and family names that mail headers prove, by way of addresses of the
-form ``given.family@`` and of display names that share a token with them.
-
-The lexicon of names is sent to the tasks while it has at most ``MAX_LEXICON`` tokens; beyond that
-the capitalised words of each record are joined with it, which gives the same rows.
+One Aho-Corasick automaton runs over each text and finds *anchors*: at-signs in their spellings,
+schemes, street, box and town cues, honorifics, and the cues of numbers (two digits around one
+separator, a digit beside a letter that identity numbers have there).  From each anchor a
+deterministic local parser expands to the left and right, to the boundaries of the value, and
+validates it; no other pattern runs over a text.  Names are anchored by honorifics and by the words
+that mail headers prove to be given or family names, by way of addresses of the form
+``given.family@`` and of display names that share a token with them; capital letters are those of
+any alphabet.
+
+The lexicon of names is broadcast while it has at most ``MAX_LEXICON`` tokens; beyond that the
+capitalised words of each record, found by the same function, are joined with it: the same rows.
 
 Defined results: NULL and empty texts give no row; equal values of a record are one row of
 :func:`found_values`; overlapping values keep the first kind of ``KINDS``; repeated rows are
@@ -21,6 +24,7 @@ from collections.abc import Callable, Iterator
 
 import ahocorasick
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +36,8 @@ MAX_LEXICON = 300_000
 
 # --- fixed values ---
 AT_SIGNS = ["@", "(at)", "[at]", " at "]
+SCHEMES = ["tel:", "callto:", "sms:", "fax:"]
+HONORIFICS = ["Mr. ", "Mr ", "Mrs. ", "Mrs ", "Ms. ", "Ms ", "Miss ", "Dr. ", "Dr ", "Prof. ", "Prof ", "Herr ", "Herrn ", "Frau ", "Sr. ", "Sra. ", "Don ", "Doña ", "Señor ", "Señora "]
 STREETS = "Street St Avenue Ave Road Rd Boulevard Blvd Lane Ln Drive Dr Court Ct Parkway Pkwy Way Place Pl Square Sq Terrace Highway Hwy".split()
 STREET_ENDINGS = "weg straße strasse platz gasse allee ufer damm".split()
 STREET_BEGINNINGS = "Calle Avenida Plaza Paseo Carrera Camino".split()
@@ -40,31 +46,42 @@ ROOMS = r"Suite|Ste\.?|Apt\.?|Apartment|Floor|Fl\.?|Unit|Room|Rm\.?|#"
 TRADES = "logistics castings bearings holdings rail parts coatings machining engineering advisory audit consulting services freight group gmbh ltd llc inc limited incorporated".split()
 # --- end of fixed values ---
 
-_TOWN = r"[A-ZÀ-Þ][\wÀ-ÿ.'-]*(?: [A-ZÀ-Þ][\wÀ-ÿ.'-]*){0,3}, [A-Z]{2} \d{5}(?:-\d{4})?\b"
+#: The capital letters of all alphabets, as a class of a pattern.
+_UP = "[" + "".join(c for c in map(chr, range(0x41, 0x2000)) if c.isupper()) + "]"
+_TOWN = rf"{_UP}[\w.'-]*(?: {_UP}[\w.'-]*){{0,3}}, [A-Z]{{2}} \d{{5}}(?:-\d{{4}})?\b"
 _REST = rf"(?:,? (?:{ROOMS}) ?\d+[A-Z]?\b)?(?:, \d+\.º)?(?:, {_TOWN})?"
 _AVE = r"(?:Ave\.|(?:" + "|".join(STREETS) + r")\b)"
-_STREET = re.compile(rf"(?<![\w.,-])\d{{1,5}} (?:[A-ZÀ-Þ][\wÀ-ÿ'-]* ){{1,4}}?{_AVE}{_REST}")
-_ENDING = re.compile(rf"(?<!\w)[A-ZÀ-Þ][\wÀ-ÿ-]*(?:{'|'.join(STREET_ENDINGS)}) \d{{1,4}}[a-z]?\b{_REST}")
-_BEGINNING = re.compile(rf"(?<!\w)(?:{'|'.join(STREET_BEGINNINGS)})(?: (?:de|del|la|los|las))* [A-ZÀ-Þ][\wÀ-ÿ'-]*(?: [A-ZÀ-Þ][\wÀ-ÿ'-]*)*,? \d{{1,4}}\b{_REST}")
+_STREET = re.compile(rf"(?<![\w.,-])\d{{1,5}} (?:{_UP}[\w'-]* ){{1,4}}?{_AVE}{_REST}")
+_BEFORE_STREET = re.compile(rf"(?<![\w.,-])\d{{1,5}}(?: {_UP}[\w'-]*){{1,4}}$")
+_ENDING = re.compile(rf"(?<!\w){_UP}[\w-]*(?:{'|'.join(STREET_ENDINGS)}) \d{{1,4}}[a-z]?\b{_REST}")
+_BEGINNING = re.compile(rf"(?<!\w)(?:{'|'.join(STREET_BEGINNINGS)})(?: (?:de|del|la|los|las))* {_UP}[\w'-]*(?: {_UP}[\w'-]*)*,? \d{{1,4}}\b{_REST}")
 _BOX = re.compile(rf"(?:{'|'.join(map(re.escape, BOXES))}) \d+\b{_REST}")
-_TOWN_LINE = re.compile(rf"(?m)^[> |\t]*({_TOWN})[ \t]*$")
+_TOWN_LINE = re.compile(rf"[> |\t]*({_TOWN})[ \t]*")
 _LOCAL = re.compile(r"[\w.+'-]+$")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:(?:\.|\s?[\[(](?:dot|punkt)[\])]\s?| dot )[A-Za-z0-9-]+)+", re.I)
-_DIGITS = re.compile(
+_NUMBER = re.compile(
     r"(?<![\w+/-])(?<!\d[.,])(?:"
     r"(?P<phone>(?:\+\d{1,3}[ .-])?(?:\(\d{2,5}\) ?|\d{2,5}[ .-])\d{3,5}[ .-]\d{3,4}(?![ .-]?\d)(?: ?(?:x|ext\.?|Ext\.?|extension) ?\d{1,5})?)"
     r"|(?P<id>\d{3}-\d{2}-\d{4}|\d{3} \d{2} \d{4}|\d{2} \d{3} \d{3} \d{3}|[A-CEGHJ-PR-TW-Z][A-CEGHJ-NPR-TW-Z] ?\d\d ?\d\d ?\d\d ?[A-D]|QQ ?\d\d ?\d\d ?\d\d ?[A-D]|[XYZ]-?\d{7}(?:-?[A-Z])?)"
     r")(?![\w/-])(?![.,]\d)"
 )
-_CAPITAL = re.compile(r"\b((?:[A-ZÀ-Þ]\. )*)([A-ZÀ-Þ][\wÀ-ÿ]+)")
+#: What numbers are written with, the letters before them, and the room that an extension takes.
+_IN_NUMBER, _BEFORE_NUMBER, _EXTENSION = frozenset("0123456789 .-()+"), 4, 20
+_CAPITAL = re.compile(rf"\b((?:{_UP}\. )*)({_UP}\w+)")
+_TITLED = re.compile(rf"((?:{_UP}\. )*{_UP}[^\W\d_]+)(?: ({_UP}[^\W\d_]+))?")
 _NEXT_WORD = re.compile(r" (\w+)")
 
 
 def _automaton() -> ahocorasick.Automaton:
+    digits, capitals = "0123456789", [chr(c) for c in range(65, 91)]
+    numbers = [f"{a}{gap}{b}" for a in digits for gap in " .-" for b in digits]
+    numbers += [f"{d}{gap}{x}" for d in digits for gap in ("", " ") for x in "ABCD"] + [f"{x}{d}" for x in "XYZ" for d in f"{digits}-"]
+    towns = [f", {a}{b} " for a in capitals for b in capitals]
+    cues = {"at": AT_SIGNS, "street": [f" {s}" for s in STREETS], "ending": STREET_ENDINGS, "beginning": [f"{b} " for b in STREET_BEGINNINGS], "box": BOXES, "town": towns, "number": numbers, "scheme": SCHEMES, "honorific": HONORIFICS}
     found = ahocorasick.Automaton()
-    for kind, words in (("at", AT_SIGNS), ("street", [f" {s}" for s in STREETS]), ("ending", STREET_ENDINGS), ("beginning", [f"{b} " for b in STREET_BEGINNINGS]), ("box", BOXES)):
+    for kind, words in cues.items():
         for w in words:
-            found.add_word(w, (kind, w))
+            found.add_word(w, (kind, len(w)))
     found.make_automaton()
     return found
 
@@ -86,14 +103,35 @@ def _mail(text: str, start: int, end: int) -> Span | None:
     return (start - gap - len(word), domain.end(), "EMAIL") if word else None
 
 
-def _addresses(text: str, kinds: set[str]) -> Iterator[Span]:
-    for kind, pattern in (("street", _STREET), ("ending", _ENDING), ("beginning", _BEGINNING), ("box", _BOX)):
-        if kind in kinds:
-            for m in pattern.finditer(text):
-                yield m.start(), m.end(), "ADDRESS"
-    if kinds & {"street", "ending", "beginning", "box"}:
-        for m in _TOWN_LINE.finditer(text):
-            yield m.start(1), m.end(1), "ADDRESS"
+def _address(text: str, kind: str, start: int, end: int) -> Span | None:
+    """The street, box or town line around its cue."""
+    if kind == "street":
+        left = None if text[end : end + 1].isalnum() else _BEFORE_STREET.search(text, max(0, start - 90), start)
+        found = left and _STREET.match(text, left.start())
+    elif kind == "ending":
+        while start > 0 and (text[start - 1].isalnum() or text[start - 1] in "_-"):
+            start -= 1
+        found = _ENDING.match(text, start)
+    elif kind == "town":
+        line_end = text.find("\n", end)
+        found = _TOWN_LINE.fullmatch(text, text.rfind("\n", 0, start) + 1, len(text) if line_end < 0 else line_end)
+        return found and (*found.span(1), "ADDRESS")
+    else:
+        found = (_BEGINNING if kind == "beginning" else _BOX).match(text, start)
+    return found and (*found.span(), "ADDRESS")
+
+
+def _numbers(text: str, start: int, end: int) -> tuple[list[Span], int]:
+    """The phones and identity numbers in the run of digits and separators around a cue, and where the run ends."""
+    while start > 0 and text[start - 1] in _IN_NUMBER:
+        start -= 1
+    while end < len(text) and text[end] in _IN_NUMBER:
+        end += 1
+    out = []
+    for m in _NUMBER.finditer(text, max(0, start - _BEFORE_NUMBER), min(len(text), end + _EXTENSION)):
+        if m.lastgroup == "id" or 9 <= sum(c.isdigit() for c in re.split("[xe]", m.group())[0]) <= 14:
+            out.append((*m.span(), "PHONE" if m.lastgroup == "phone" else "IDNUM"))
+    return out, end
 
 
 class _Names:
@@ -135,6 +173,14 @@ class _Names:
         if open_ is not None:
             yield from self._unless_firm(text, open_, until)
 
+    def titled(self, text: str, at: int) -> Span | None:
+        """The name behind an honorific, where the lexicon does not know it."""
+        found = _TITLED.match(text, at)
+        if not found or self.kind(found[1].rsplit(" ", 1)[-1]):
+            return None
+        more = found[2] and found[2].lower() not in TRADES
+        return at, (found.end() if more else found.end(1)), "NAME"
+
     @staticmethod
     def _unless_firm(text: str, start: int, end: int) -> Iterator[Span]:
         after = _NEXT_WORD.match(text, end)
@@ -145,18 +191,20 @@ class _Names:
 def spans_of(text: str, names: _Names) -> list[Span]:
     """The values of a text, in order, without overlaps."""
     found: list[Span] = []
-    kinds: set[str] = set()
-    for end, (kind, word) in _ANCHORS.iter(text):
-        if kind == "at":
-            if span := _mail(text, end + 1 - len(word), end + 1):
-                found.append(span)
+    counted = 0  # where the last run of digits ends
+    for last, (kind, size) in _ANCHORS.iter(text):
+        start, end = last + 1 - size, last + 1
+        if kind == "number" or kind == "scheme":
+            if end > counted or kind == "scheme":
+                numbers, counted = _numbers(text, end if kind == "scheme" else start, end)
+                found += numbers
+        elif kind == "at":
+            found.append(_mail(text, start, end))
+        elif kind == "honorific":
+            found.append(names.titled(text, end))
         else:
-            kinds.add(kind)
-    found.extend(_addresses(text, kinds))
-    for m in _DIGITS.finditer(text):
-        if m.lastgroup == "phone" and not 9 <= sum(c.isdigit() for c in re.split("[xe]", m.group())[0]) <= 14:
-            continue
-        found.append((m.start(), m.end(), "PHONE" if m.lastgroup == "phone" else "IDNUM"))
+            found.append(_address(text, kind, start, end))
+    found = list({s for s in found if s})
     found.extend(names(text))
     found.sort(key=lambda s: (_RANK[s[2]], s[0], -s[1]))
     kept: list[Span] = []
@@ -168,9 +216,9 @@ def spans_of(text: str, names: _Names) -> list[Span]:
     return sorted(kept)
 
 
-def _scan(lexicon: dict[str, str] | None, redact: bool) -> Callable:
+def _scan(lexicon: Broadcast | None, redact: bool) -> Callable:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shared = None if lexicon is None else _Names(lexicon)
+        shared = None if lexicon is None else _Names(lexicon.value)
         for batch in batches:
             rows = []
             for r in batch.itertuples(index=False):
@@ -195,7 +243,7 @@ def _header_roles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for name in batch["name"]:
             tokens, _ = parse_form(name)
-            mail = re.search(r"([A-Za-z]+)\.([A-Za-z]+)@", name)
+            mail = re.search(r"([^\W\d_]+)\.([^\W\d_]+)@", name)
             if mail:
                 rows += [(fold(mail.group(1)), "given", None), (fold(mail.group(2)), "family", None)]
             if len(tokens) == 2 and not legal & {w.lower() for w in re.findall(r"\w+", name)}:
@@ -214,20 +262,22 @@ def name_lexicon(names: DataFrame) -> DataFrame:
     return proven.unionByName(guessed.join(proven, "token", "left_anti")).where(F.length("token") >= 3)
 
 
-def _prepared(records: DataFrame, lexicon: DataFrame, max_lexicon: int) -> tuple[DataFrame, dict[str, str] | None]:
+def _capitalised(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        tokens = [sorted({fold(m[2]) for m in _CAPITAL.finditer(t)} | {fold(m[1].rsplit(" ", 1)[-1]) for m in _TITLED.finditer(t)}) for t in batch["text"]]
+        yield pd.DataFrame({"record_id": batch["record_id"].repeat([len(x) for x in tokens]), "token": [w for x in tokens for w in x]})
+
+
+def _prepared(records: DataFrame, lexicon: DataFrame, max_lexicon: int) -> tuple[DataFrame, Broadcast | None]:
     texts = records.select(F.col("record_id").cast("string").alias("record_id"), "text").where("record_id is not null and text is not null and text <> ''").distinct()
     first = lexicon.limit(max_lexicon + 1).collect()
     if len(first) <= max_lexicon:
-        return texts, {r["token"]: r["role"] for r in first}
-    words = texts.select("record_id", F.explode(F.array_distinct(F.expr("regexp_extract_all(text, '[A-ZÀ-Þ][\\\\w\\\\u00C0-\\\\u00FF]+', 0)"))).alias("word"))
-    folded = words.mapInPandas(_fold_words, "record_id string, token string").distinct()
-    known = folded.join(lexicon, "token").groupBy("record_id").agg(F.collect_list("token").alias("known_tokens"), F.collect_list("role").alias("known_roles"))
-    return texts.join(known, "record_id", "left"), None
-
-
-def _fold_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield pd.DataFrame({"record_id": batch["record_id"], "token": [fold(w) for w in batch["word"]]})
+        return texts, records.sparkSession.sparkContext.broadcast({r["token"]: r["role"] for r in first})
+    # keyed by record and text: one id may have two texts
+    texts = texts.withColumn("text_hash", F.xxhash64("record_id", "text"))
+    words = texts.select(F.col("text_hash").cast("string").alias("record_id"), "text").mapInPandas(_capitalised, "record_id string, token string").select(F.col("record_id").cast("bigint").alias("text_hash"), "token")
+    known = words.join(lexicon, "token").groupBy("text_hash").agg(F.collect_list("token").alias("known_tokens"), F.collect_list("role").alias("known_roles"))
+    return texts.join(known, "text_hash", "left").drop("text_hash"), None
 
 
 def found_values(records: DataFrame, lexicon: DataFrame, max_lexicon: int = MAX_LEXICON) -> DataFrame:

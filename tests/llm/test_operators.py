@@ -218,6 +218,16 @@ def test_private_data(spark):
     assert "[EMAIL]" in text and "950 19" not in text and "T68/757711" in text and "Lopez Logistics" in text
 
 
+def test_names_of_other_alphabets_and_unknown_names(spark):
+    headers = spark.createDataFrame([("Goran Kovačević <goran.kovačević@x.example>",), ("Łukasz Kowalski",), ("Šárka Kowalski",), ("Jan Kowalski <jan.kowalski@x.example>",)], "name string")
+    text = "Goran Kovačević met Łukasz Kowalski; Šárka was there, and Dr. Qwertowska too.\nTolliver, IL 00417\nref 12.5-3 on 2026-08-17, X1234567L, AB 12 34 56 C"
+    records = spark.createDataFrame([("r", text), ("r", "Jan only")], "record_id string, text string")
+    want = {("NAME", x) for x in ("Goran Kovačević", "Łukasz Kowalski", "Šárka", "Qwertowska", "Jan")} | {("ADDRESS", "Tolliver, IL 00417"), ("IDNUM", "X1234567L"), ("IDNUM", "AB 12 34 56 C")}
+    lexicon = private_data.name_lexicon(headers)
+    for most in (0, private_data.MAX_LEXICON):
+        assert {(r["kind"], r["found_text"]) for r in private_data.found_values(records, lexicon, max_lexicon=most).collect()} == want
+
+
 # ---------------------------------------------------------------- 7
 
 
