@@ -9,7 +9,7 @@ from ledgerloom.functions import cleaning, headers, ids
 from ledgerloom.operators import chunking, evaluation, index, instants, providers, search, threads
 from ledgerloom.registry import ORACLE_SQL, QUERIES, query
 from ledgerloom.session import spread, table
-from ledgerloom.vocabulary import DOCUMENT_TYPES, JURISDICTIONS, NA, SOURCE_TYPES
+from ledgerloom.vocabulary import DOCUMENT_TYPES, FACETS, JURISDICTION_ALIASES, JURISDICTIONS, NA, SOURCE_TYPES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -100,11 +100,16 @@ def n3_thread_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return threads.thread_facts(table(spark, sf_dir, "extracted"))
 
 
-@query("select document_id, content_hash, count(*) as deliveries from normalized_docs group by document_id, content_hash having count(*) > 1")
+@query(
+    """
+    select distinct e.document_id from (select 'doc_' || sha256(source_path) as document_id, sha256(text) as content_hash from extracted) e
+    join normalized_docs n on n.document_id = e.document_id and n.content_hash = e.content_hash
+    """
+)
 def n9_unchanged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents that were delivered again with the content they had."""
-    docs = table(spark, sf_dir, "normalized_docs").groupBy("document_id", "content_hash").agg(F.count("*").alias("deliveries"))
-    return docs.where("deliveries > 1")
+    """Extracted files whose text is what was normalised before: a rerun leaves them alone."""
+    new = table(spark, sf_dir, "extracted").select(ids.document_id(F.col("source_path")).alias("document_id"), ids.content_hash(F.col("text")).alias("content_hash"))
+    return index.unchanged(new, table(spark, sf_dir, "normalized_docs")).select("document_id").distinct()
 
 
 # ---------------------------------------------------------------- cleaning
@@ -175,14 +180,18 @@ def c16_cleaning_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     r"""
-    select path, to_line, array_to_string(list_filter(list_transform(string_split(to_line, ';'), lambda p: trim(p)), lambda p: p <> ''), '|') as recipients
-    from (select path, regexp_extract(text, '\nTo: ([^\n]*;[^\n]*)', 1) as to_line from extracted) where to_line <> ''
+    with l as (select distinct path, unnest(string_split(text, chr(10))) as line from extracted),
+    h as (select path, line, trim(regexp_extract(line, '^(?:To|Cc): (.*)$', 1)) as v from l where regexp_matches(line, '^(To|Cc): '))
+    select path, line, array_to_string(list_filter(list_transform(case when contains(v, ';') then string_split(v, ';')
+        else string_split(regexp_replace(regexp_replace(v, '([@<][^,]*),', '\1;', 'g'), '\s*,\s*', ', ', 'g'), ';') end, lambda p: trim(p)), lambda p: p <> ''), '|') as recipients
+    from h where v not in ('', 'n/a')
     """
 )
 def e5_recipients(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recipient headers with several addresses, split."""
-    lines = table(spark, sf_dir, "extracted").select("path", F.regexp_extract("text", r"\nTo: ([^\n]*;[^\n]*)", 1).alias("to_line")).where("to_line <> ''")
-    return lines.withColumn("recipients", F.array_join(headers.split_recipients(F.col("to_line")), "|"))
+    """Every recipient header in the text of every file, split at semicolons or commas."""
+    lines = table(spark, sf_dir, "extracted").select("path", F.explode(F.split("text", "\n")).alias("line")).where(F.col("line").rlike("^(To|Cc): ")).distinct()
+    value = lines.withColumn("v", F.trim(F.regexp_extract("line", "^(?:To|Cc): (.*)$", 1))).where("v not in ('', 'n/a')")
+    return value.select("path", "line", F.array_join(headers.split_recipients(F.col("v")), "|").alias("recipients"))
 
 
 @query(r"select message_id, ingested_ts, coalesce(nullif(trim(regexp_replace(coalesce(subject, ''), '(?i)^(\s*(re|fw|fwd|aw|antwort)\s*:\s*)+', '')), ''), 'n/a') as thread_subject from email_messages")
@@ -358,29 +367,27 @@ def q8c_vector_topk_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.vector_top(vectors.where("vec_id % 50 = 0"), vectors, 10).select("query_id", "vec_id", "rank", F.round("vector_score", 6).alias("score"))
 
 
-_WORDS_DOC = _WORDS.format("text")
-_DOC_TERMS = ["binder", "auditor", "payroll"]
-
-
-@query(
-    f"""
-    with w as (select doc_id, {_WORDS_DOC} as ws from documents),
-    c as (select doc_id, len(ws) as l, {", ".join(f"len(list_filter(ws, lambda x: x = '{t}')) as t{n}" for n, t in enumerate(_DOC_TERMS))} from w),
-    s as (select count(*)::double as total, avg(l) as mean, {", ".join(f"(count(*) filter (t{n} > 0))::double as df{n}" for n in range(len(_DOC_TERMS)))} from c),
-    k as (select doc_id, {" + ".join(f"ln(1.0::double + (total - df{n} + 0.5::double) / (df{n} + 0.5::double)) * t{n} * 2.2::double / (t{n} + 1.2::double * (0.25::double + 0.75::double * l / mean))" for n in range(len(_DOC_TERMS)))} as score
-          from c, s where {" or ".join(f"t{n} > 0" for n in range(len(_DOC_TERMS)))}),
-    kr as (select doc_id as id, row_number() over (order by round(score, 9) desc, doc_id) as r from k qualify r <= 50),
-    {_COSINE},
-    vr as (select vec_id as id, row_number() over (order by round(score, 9) desc, vec_id) as r from v qualify r <= 50)
-    select id, round(sum(1.0::double / (60 + r)), 9) as fused from (select * from kr union all select * from vr) group by id order by fused desc, id limit 10
+_HYBRID = (
+    _BM25
+    + f"""
+    , tok as (select chunk_id, unnest({_WORDS.format("content")}) as word from search_docs),
+    b as (select chunk_id, ('0x' || substr(md5(word), 1, 2))::int as bucket, count(*)::double as n from tok group by all),
+    idf as (select bucket, ln(((select count(*) from search_docs)::double + 1) / (count(*) + 1)) + 1 as idf from b group by bucket),
+    qb as (select ('0x' || substr(md5(word), 1, 2))::int as bucket, count(*)::double as q from (select unnest({_WORDS.format(f"'{QUESTION}'")}) as word) group by all),
+    dots as (select chunk_id, sum(n * coalesce(q, 0) * idf * idf) as dot, sqrt(sum((n * idf) ** 2)) as size from b join idf using (bucket) left join qb using (bucket) group by chunk_id),
+    v as (select chunk_id, dot / (size * (select sqrt(sum((q * idf) ** 2)) from qb join idf using (bucket))) as score from dots where dot > 0),
+    kr as (select chunk_id, row_number() over (order by round(score, 9) desc, chunk_id) as r from k qualify r <= 50),
+    vr as (select chunk_id, row_number() over (order by round(score, 9) desc, chunk_id) as r from v qualify r <= 50),
+    fused as (select chunk_id, sum(1.0::double / (60 + r)) as fused from (select * from kr union all select * from vr) group by chunk_id)
     """
 )
+
+
+@query(_HYBRID + "select chunk_id, round(fused, 9) as fused, (select count(*) from (select chunk_id from k union select chunk_id from v)) as total from fused order by round(fused, 9) desc, chunk_id limit 10")
 def q8_hybrid_rrf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keyword and vector ranks of documents fused: the ten best keys."""
-    words = search.bm25(table(spark, sf_dir, "documents"), " ".join(_DOC_TERMS), "text", "doc_id").select(F.col("doc_id").alias("id"), F.round("keyword_score", 9).alias("s"))
-    vectors = search.vector_scores(table(spark, sf_dir, "embeddings"), _first_vector(spark, sf_dir)).select(F.col("vec_id").alias("id"), F.round("vector_score", 9).alias("s"))
-    fused = search.reciprocal_rank_fusion([search.top(words, "s", "id", 50), search.top(vectors, "s", "id", 50)], "id")
-    return fused.select("id", F.round("fused", 9).alias("fused")).orderBy(F.desc("fused"), "id").limit(10)
+    """Keyword and vector ranks of the same chunks fused: the ten best, and how many match before the cut."""
+    fused = search.hybrid(table(spark, sf_dir, "search_docs"), QUESTION)
+    return fused.select("chunk_id", F.round("fused", 9).alias("fused"), "total").orderBy(F.desc("fused"), "chunk_id").limit(10)
 
 
 @query(
@@ -404,19 +411,47 @@ def q7_boosted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raised.select("chunk_id", F.round("search_score", 6).alias("score")).orderBy(F.desc_nulls_last("score"), "chunk_id").limit(25)
 
 
-@query()
+_FILTERED = _HYBRID.replace("from search_docs", "from docs").replace("with w as", "with docs as (select * from search_docs where tax_topic = 'Apportionment'), w as", 1)
+
+
+@query(
+    _FILTERED
+    + """select row_number() over (order by round(s, 9) desc, chunk_id) as rank, chunk_id, round(s, 6) as score, total from (
+    select f.chunk_id, fused * case when coalesce(list_has_any(jurisdictions, ['Ohio']), false) then 1.5::double else 1.0::double end as s,
+    (select count(*) from (select chunk_id from k union select chunk_id from v)) as total from fused f join docs using (chunk_id)) order by rank limit 10"""
+)
 def q9_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A filtered, boosted search with citations."""
+    """A filtered, boosted hybrid search with its total."""
     found = search.search(table(spark, sf_dir, "search_docs"), QUESTION, search.Filters(tax_topic="Apportionment", boost_jurisdictions=("Ohio",)))
+    return found.select("rank", "chunk_id", F.round("search_score", 6).alias("score"), "total")
+
+
+@query()
+def q10_understood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A search by an understood question: its topic filters, its jurisdictions raise."""
+    draft = {"internal_search_query": QUESTION, "topic": "Apportionment", "jurisdictions": ["Ohio"]}
+    found = search.search_understood(table(spark, sf_dir, "search_docs"), draft)
     return found.select("rank", "chunk_id", F.round("search_score", 6).alias("score"), search.citation_label().alias("citation"))
 
 
-@query(
-    " union all ".join(f"select '{f}' as field, {f} as value, count(*) as n from search_docs where {f} is not null group by {f}" for f in ("tax_topic", "evidence_type", "semantic_state"))
-)
+@query(_BM25.replace("from search_docs", "from search_docs where evidence_type = 'Tax Memo'") + "select row_number() over (order by score desc, chunk_id) as rank, k.chunk_id, round(score, 6) as score, substring(content, 1, 300) as preview from k join search_docs using (chunk_id) order by rank limit 5")
+def q13_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best memos by keyword, with the beginning of their text."""
+    found = search.preview(table(spark, sf_dir, "search_docs"), QUESTION, F.col("evidence_type") == "Tax Memo")
+    return found.select("rank", "chunk_id", F.round("keyword_score", 6).alias("score"), "preview")
+
+
+@query(" union all ".join(f"select '{f}' as field, metadata.{f} as value, count(*) as n from normalized_docs where metadata.{f} is not null group by metadata.{f}" for f in FACETS))
 def q11_facets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of values of three fields in one scan."""
-    return search.facets(table(spark, sf_dir, "search_docs"))
+    """Counts of values of the seven facets in one scan."""
+    return search.facets(table(spark, sf_dir, "normalized_docs").select("metadata.*"), FACETS)
+
+
+@query("select chunk_id from search_docs s where not exists (select 1 from email_messages m where m.document_id = s.thread_id)")
+def q12_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks whose thread is not among the mails."""
+    chunks = table(spark, sf_dir, "search_docs").withColumn("document_id", F.col("thread_id"))
+    return index.orphans(chunks, table(spark, sf_dir, "email_messages")).select("chunk_id")
 
 
 @query(
@@ -433,12 +468,25 @@ def q16_citations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("chunk_id", "semantic_state", "evidence_type", F.size("entities").cast("bigint").alias("entities"), search.citation_label().alias("citation"))
 
 
-@query("select source_id, max(search_score) as best_score from search_docs where search_score is not null group by source_id")
+@query("select source_id, min(r) as rank from (select source_id, row_number() over (order by search_score desc, chunk_id) as r from search_docs where search_score is not null qualify r <= 100) group by source_id")
 def q17_ranked_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sources of the hundred best chunks, each with its best rank."""
+    best = search.top(table(spark, sf_dir, "search_docs").where("search_score is not null"), "search_score", "chunk_id", 100)
+    return search.source_ranks(best)
+
+
+@query("select source_id, max(search_score) as best_score from search_docs where search_score is not null group by source_id")
+def q17_source_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources with the score of their best chunk."""
     return search.ranked_sources(table(spark, sf_dir, "search_docs"))
 
 
+@query("select distinct case when message_id is not null then 'mail' else 'file' end as origin, source_id from search_docs where source_id is not null")
+def r11_sources_by_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The different sources of chunks from mails and from files."""
+    return search.cited_by_origin(table(spark, sf_dir, "search_docs"), F.when(F.col("message_id").isNotNull(), "mail").otherwise("file"))
+
+
 @query("select distinct source_id from search_docs where semantic_state = 'SUPERSEDED'")
 def q18_superseded_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources with superseded chunks."""
@@ -456,12 +504,48 @@ def q19_jurisdictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    select message_id, min(ingested_ts) as created, max(ingested_ts) as updated, count(*) as deliveries from email_messages group by message_id
+    select message_id as document_id, (max({'at': ingested_ts, 's': s, 'e': subject})).s as status, min(ingested_ts) as created, max(ingested_ts) as updated, (max({'at': ingested_ts, 's': s, 'e': subject})).e as error
+    from (select *, case when coalesce(body, '') = '' then 'FAILED' else 'EXTRACTED' end as s from email_messages) group by message_id
     """
 )
 def s20_delivery_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First and last delivery of every message."""
-    return table(spark, sf_dir, "email_messages").groupBy("message_id").agg(F.min("ingested_ts").alias("created"), F.max("ingested_ts").alias("updated"), F.count("*").alias("deliveries"))
+    """The present status of every message by the log of its deliveries, with its first and last moment."""
+    log = table(spark, sf_dir, "email_messages").select(F.col("message_id").alias("document_id"), F.when(F.coalesce("body", F.lit("")) == "", "FAILED").otherwise("EXTRACTED").alias("status"), F.col("ingested_ts").alias("at"), F.col("subject").alias("error"))
+    return index.status_view(log)
+
+
+@query(
+    "select document_id, "
+    + ", ".join(f"r.{f} as {f}" for f in ("jurisdiction", "tax_topic", "authority_level", "source_type", "legal_entity", "business_unit", "scenario_id"))
+    + " from (select document_id, metadata as r, row_number() over (partition by document_id order by upload_timestamp desc nulls last) as k from normalized_docs where document_id is not null) where k = 1"
+)
+def s21_metadata_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The facets of every document, by its last delivery."""
+    return index.metadata_rows(table(spark, sf_dir, "normalized_docs")).drop("upload_timestamp", "metadata_json")
+
+
+@query(
+    """
+    select substring(document_id, 1, 8) as prefix, case when count(distinct document_id) = 1 then min(document_id) end as document_id,
+    case when count(distinct document_id) > 1 then 'ambiguous' else 'found' end as status from normalized_docs group by 1
+    """
+)
+def s23_resolved_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which documents the first eight characters of their key name, and which prefixes are ambiguous."""
+    docs = table(spark, sf_dir, "normalized_docs")
+    return index.resolved(docs, docs.select(F.substring("document_id", 1, 8).alias("prefix")), "document_id", 8)
+
+
+_CONTRACT = ["content", "source_id", "source_file", "page_number", "tax_topic"]
+
+
+@query(
+    "select 'chunk_id' as field, count(chunk_id) as known, count(*) as total from search_docs union all "
+    + " union all ".join(f"select '{f}', count(*) filter (coalesce({f}::varchar, '') not in ('', 'n/a', '[]')), count(*) from search_docs" for f in _CONTRACT)
+)
+def s19_index_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields of the index that the chunks have, and how many chunks say something."""
+    return index.contract(table(spark, sf_dir, "search_docs"))
 
 
 @query("select message_id, ingested_ts, scenario_id, body from (select *, row_number() over (partition by message_id order by ingested_ts desc, body desc) as r from email_messages) where r = 1")
@@ -484,10 +568,11 @@ def s22_cleared(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    " union all ".join(f"select '{f}' as field, count(*) filter ({f} is null or trim({f}) = '') as missing from search_docs" for f in ("chunk_id", "source_id", "source_file", "content", "evidence_type"))
+    " union all ".join(f"select '{f}' as field, count(*) filter ({f} is null or trim({f}) = '') as missing from search_docs" for f in ("chunk_id", "source_id", "source_file", "content"))
+    + " union all select 'content_vector', count(*) from search_docs"
 )
 def r18_missing_on_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How many rows lack a field that a write requires."""
+    """How many rows lack a field that a write requires; the chunks at hand have no vectors yet."""
     return index.missing_on_write(table(spark, sf_dir, "search_docs"))
 
 
@@ -545,17 +630,88 @@ def a7_field_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluation.field_coverage(table(spark, sf_dir, "normalized_docs"), _FIELDS)
 
 
+@query(
+    """
+    with r as (select tax_topic, source_id, row_number() over (partition by tax_topic order by best desc, source_id) as k from
+      (select tax_topic, source_id, max(search_score) as best from search_docs where search_score is not null and tax_topic is not null group by all)),
+    w as (select tax_topic, source_id from search_docs where semantic_state = 'SETTLED' and tax_topic is not null)
+    select tax_topic, count(*) filter (exists (select 1 from w where w.tax_topic = r.tax_topic and w.source_id = r.source_id)) > 0 as hit from r where k <= 3 group by tax_topic
+    """
+)
+def a8_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether one of the three best sources of each topic is settled."""
+    rows = table(spark, sf_dir, "search_docs").where("tax_topic is not null")
+    best = rows.where("search_score is not null").groupBy("tax_topic", "source_id").agg(F.max("search_score").alias("best"))
+    ranked = best.groupBy("tax_topic").agg(F.transform(F.array_sort(F.collect_list(F.struct(F.negative("best").alias("b"), "source_id"))), lambda x: x["source_id"]).alias("ranked"))
+    wanted = rows.where("semantic_state = 'SETTLED'").groupBy("tax_topic").agg(F.collect_set("source_id").alias("wanted"))
+    return ranked.join(wanted, "tax_topic", "left").select("tax_topic", providers.hit_at(F.col("ranked"), F.coalesce("wanted", F.array().cast("array<string>")), 3).alias("hit"))
+
+
+_CRITICAL = [f"TC-{k:04}" for k in (1, 2, 3, 4, 5)]
+
+
+@query(f"select test_id, error is null as scored, error is null and coalesce(expected_intent = actual_intent, false) as correct from eval_cases where test_id in ({', '.join(map(repr, _CRITICAL))})")
+def a3_critical_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five cases that must not fail."""
+    return evaluation.critical_cases(table(spark, sf_dir, "eval_cases"), _CRITICAL)
+
+
+# ---------------------------------------------------------------- headers, pages, aliases
+
+
+@query(
+    r"""
+    with l as (select path, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as no from (select distinct path, text from extracted)),
+    m as (select path, no, regexp_extract(line, '(?i)^\[?page (\d+)(?: of \d+)?\]?$', 1)::int as page from l where regexp_matches(line, '(?i)^\[?page (\d+)(?: of \d+)?\]?$')),
+    f as (select path, no, line from l where starts_with(line, 'From: '))
+    select f.path, f.no, m.page from f asof left join (select path, no, max(page) as page from m group by all) m on f.path = m.path and f.no >= m.no
+    """
+)
+def e13_pages_of_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page on which each head of a mail stands: that of the last page marker at or before it."""
+    lines = table(spark, sf_dir, "extracted").select("path", "text").distinct().select("path", F.posexplode(F.split("text", "\n")).alias("no", "line")).withColumn("no", F.col("no") + 1)
+    marker = F.regexp_extract("line", r"(?i)^\[?page (\d+)(?: of \d+)?\]?$", 1)
+    pages = lines.where(marker != "").groupBy("path", "no").agg(F.max(marker.cast("int")).alias("page"))
+    heads = lines.where(F.col("line").startswith("From: ")).select("path", "no")
+    return threads.asof_backward(heads, pages, ["path"], "no", ["page"])
+
+
+@query(r"select path, len(regexp_extract_all(substring(text, 1, 8000), '(?im)^(?:from|sent|to|subject):[^\S\n]*\S|^-{2,}[^\S\n]*original message')) >= 2 as looks_like_mail from extracted")
+def e15_printed_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which texts look like printed mails."""
+    return table(spark, sf_dir, "extracted").select("path", (headers.mail_signals(F.col("text")) >= 2).alias("looks_like_mail"))
+
+
 @query()
-def v1_chunk_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors of all chunks by hashed words, where no model is at hand: width and first value."""
-    vectors = table(spark, sf_dir, "search_docs").select("chunk_id", providers.embedder(64)("content").alias("embedding"))
-    return vectors.select("chunk_id", F.size("embedding").alias("dimensions"), F.get("embedding", F.lit(0)).alias("first_value"))
+def e9_native_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages of every mail file: its own headers for the newest, the quoted history for the rest."""
+    files = spread(table(spark, sf_dir, "extracted").where("is_email_thread").select(F.col("path").alias("document_id"), "text"))
+    return threads.native_threads(files).select("document_id", "message_index", "sender", F.array_join("recipients", "|").alias("recipients"), "message_date", "subject", F.length("body").alias("chars"))
 
 
-@query("select test_id, round(max(case when error is null and expected_intent = actual_intent then 1.0::double else 0.0::double end), 1) as hit from eval_cases group by test_id")
-def a8_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whether the first answer of each case is the wanted one."""
-    cases = table(spark, sf_dir, "eval_cases")
-    first = F.when(F.col("error").isNull(), F.col("actual_intent"))
-    hit = providers.hit_at(F.array(first), F.array("expected_intent"), 1)
-    return cases.groupBy("test_id").agg(F.round(F.max(hit.cast("double")), 1).alias("hit"))
+@query(
+    "select document_id, raw, case when t is null or t in ('', 'n/a', 'none', 'null', 'unknown', 'na') then 'n/a' else coalesce("
+    + "list_filter([" + ", ".join(f"'{a}'" for a in JURISDICTIONS) + "], lambda a: lower(a) = t)[1], case "
+    + " ".join("when contains(t, '{}') then '{}'".format(k.replace("'", "''"), v) for k, v in JURISDICTION_ALIASES.items())
+    + " end, list_filter([" + ", ".join(f"'{a}'" for a in JURISDICTIONS) + "], lambda a: contains(lower(a), t) or contains(t, lower(a)))[1], 'n/a') end as jurisdiction"
+    + " from (select document_id, metadata.jurisdiction as raw, lower(trim(metadata.jurisdiction)) as t from normalized_docs)"
+)
+def m5_aliased_jurisdictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Jurisdictions mapped to the closed list, by aliases before the nearest entry."""
+    docs = table(spark, sf_dir, "normalized_docs").select("document_id", F.col("metadata.jurisdiction").alias("raw"))
+    return docs.withColumn("jurisdiction", headers.coerce(F.col("raw"), JURISDICTIONS, aliases=JURISDICTION_ALIASES))
+
+
+@query("select document_id, enrichment_status as status, guard_error from (select document_id, metadata.enrichment_status as enrichment_status, case when coalesce(metadata.enrichment_status, '') <> 'ok' then 'not enriched: ' || coalesce(nullif(trim(metadata.enrichment_status), ''), 'n/a') end as guard_error from normalized_docs) where guard_error is not null")
+def k5_not_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that a strict run does not cut into chunks."""
+    docs = table(spark, sf_dir, "normalized_docs").select("document_id", F.col("metadata.enrichment_status").alias("enrichment_status"))
+    return chunking.enrichment_guard(docs).where("guard_error is not null").select("document_id", F.col("enrichment_status").alias("status"), "guard_error")
+
+
+@query("select distinct m.message_id, m.ingested_ts, greatest(0, strpos(n.content, substring(m.body, 1, 60)) - 1)::int as char_start from email_messages m join normalized_docs n on n.document_id = m.document_id where coalesce(m.body, '') <> ''")
+def k12_message_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each message begins in the text of its document."""
+    messages = table(spark, sf_dir, "email_messages").where("coalesce(body, '') <> ''").select("message_id", "ingested_ts", "document_id", "body")
+    docs = table(spark, sf_dir, "normalized_docs").select("document_id", "content")
+    return messages.join(docs, "document_id").select("message_id", "ingested_ts", chunking.found_at(F.col("body"), F.col("content")).cast("int").alias("char_start")).distinct()

@@ -12,6 +12,7 @@ _LEAD, _GAP = r"[>\-*#|\s_]*", r"[*_\s]*"
 HEADER_LINE = rf"(?i)^{_LEAD}(?:{_LABELS})[*_\s]*:"
 LABEL_ONLY = rf"(?i)^{_LEAD}(?:{_LABELS}){_GAP}:[*_\s|]*$"
 THREAD_SIGNAL = rf"(?im)^(?:{_LEAD}from{_GAP}:{_GAP}.+|[>*#|\s_]*-{{2,}}\s*(?:original|forwarded)\s+message\s*-{{2,}}[*_\s|]*|{_LEAD}on\s+.{{4,80}}\s+wrote\s*:)[^\S\n]*$"
+MAIL_SIGNAL = r"(?im)^(?:from|sent|to|subject):[^\S\n]*\S|^-{2,}[^\S\n]*original message"
 SUBJECT_PREFIXES = r"(?i)^(\s*(re|fw|fwd|aw|antwort)\s*:\s*)+"
 
 
@@ -32,6 +33,11 @@ def thread_signals(text: Column) -> Column:
     return F.regexp_count(text, F.lit(THREAD_SIGNAL))
 
 
+def mail_signals(text: Column, head: int = 8_000) -> Column:
+    """How many lines at the beginning of a text look like those of a printed mail."""
+    return F.regexp_count(F.substring(text, 1, head), F.lit(MAIL_SIGNAL))
+
+
 def suffix(name: Column) -> Column:
     return F.lower(F.regexp_extract(name, r"(\.[^./]+)$", 1))
 
@@ -101,14 +107,15 @@ def format_recipients(values: Column, limit: int = 4) -> Column:
     return F.when(F.size(names) > limit, F.concat(first, F.lit(" (+"), (F.size(names) - limit).cast("string"), F.lit(" more)"))).otherwise(first)
 
 
-def coerce(value: Column, allowed: list[str], fallback: str = NA) -> Column:
-    """The entry of a closed list: exact without case, else the first that contains the value or lies in it."""
+def coerce(value: Column, allowed: list[str], fallback: str = NA, aliases: dict[str, str] | None = None) -> Column:
+    """The entry of a closed list: exact without case, else that of the first alias in the value, else the first entry that contains the value or lies in it."""
     text = F.lower(F.trim(value))
     entries = F.array(*(F.lit(a) for a in allowed))
     exact = F.filter(entries, lambda a: F.lower(a) == text)
     near = F.filter(entries, lambda a: F.lower(a).contains(text) | text.contains(F.lower(a)))
+    also = [F.when(text.contains(alias), F.lit(entry)) for alias, entry in (aliases or {}).items()]
     nothing = text.isNull() | text.isin("", NA, "none", "null", "unknown", "na")
-    return F.when(nothing, F.lit(NA)).otherwise(F.coalesce(F.get(exact, F.lit(0)), F.get(near, F.lit(0)), F.lit(fallback)))
+    return F.when(nothing, F.lit(NA)).otherwise(F.coalesce(F.get(exact, F.lit(0)), *also, F.get(near, F.lit(0)), F.lit(fallback)))
 
 
 def slug(value: Column, parts: int = 6) -> Column:

@@ -26,3 +26,9 @@ def field_coverage(documents: DataFrame, fields: list[str]) -> DataFrame:
     """``(field, known, total)``: how often a metadata field says something."""
     counts = [F.count_if(~F.coalesce(F.col(f"metadata.{f}"), F.lit("n/a")).isin("", "n/a")).alias(f) for f in fields]
     return documents.agg(*counts, F.count("*").alias("total")).unpivot(["total"], fields, "field", "known").select("field", "known", "total")
+
+
+def critical_cases(cases: DataFrame, ids: list[str]) -> DataFrame:
+    """``(test_id, scored, correct)`` of the cases that must not fail."""
+    right = F.coalesce(F.col("expected_intent") == F.col("actual_intent"), F.lit(False))
+    return cases.where(F.col("test_id").isin(ids)).select("test_id", F.col("error").isNull().alias("scored"), (F.col("error").isNull() & right).alias("correct"))

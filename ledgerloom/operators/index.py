@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerloom.vocabulary import REQUIRED_ON_WRITE
+from ledgerloom.vocabulary import FACETS, INDEX_FIELDS, REQUIRED_ON_WRITE
 
 
 def latest(log: DataFrame, keys: list[str], at: str, ties: list[str]) -> DataFrame:
@@ -43,10 +44,38 @@ def orphans(chunks: DataFrame, documents: DataFrame) -> DataFrame:
 
 def missing_on_write(rows: DataFrame, fields: list[str] = REQUIRED_ON_WRITE) -> DataFrame:
     """``(field, missing)``: how many rows lack a required field."""
-    counts = [F.count_if(F.col(f).isNull() | (F.trim(F.col(f).cast("string")) == "")).alias(f) for f in fields]
+    lacks = lambda f: F.col(f).isNull() | (F.trim(F.col(f).cast("string")) == "") if f in rows.columns else F.lit(True)
+    counts = [F.count_if(lacks(f)).alias(f) for f in fields]
     return rows.agg(*counts).unpivot([], fields, "field", "missing")
 
 
+def schema() -> T.StructType:
+    """The index as a schema; what can be done with a field is in its metadata."""
+    names = {"k": "key", "s": "searchable", "f": "filterable", "c": "facetable", "o": "sortable"}
+    return T.StructType([T.StructField(f, T._parse_datatype_string(kind), metadata={n: c in can for c, n in names.items()}) for f, (kind, can) in INDEX_FIELDS.items()])
+
+
+def contract(rows: DataFrame) -> DataFrame:
+    """``(field, known, total)`` of the fields of the index that ``rows`` has: how many rows say something."""
+    here = [f for f in INDEX_FIELDS if f in rows.columns]
+    counts = [F.count_if(~F.coalesce(F.col(f).cast("string"), F.lit("")).isin("", "n/a", "[]")).alias(f) for f in here]
+    return rows.agg(*counts, F.count("*").alias("total")).unpivot(["total"], here, "field", "known").select("field", "known", "total")
+
+
+def metadata_rows(documents: DataFrame, facets: list[str] = FACETS, most: int = 32_000) -> DataFrame:
+    """A row for each document, the last delivered: its facets, and its metadata as JSON of at most ``most`` characters."""
+    rows = documents.select("document_id", "upload_timestamp", *(F.col(f"metadata.{f}").alias(f) for f in facets), F.substring(F.to_json("metadata"), 1, most).alias("metadata_json"))
+    return latest(rows.where("document_id is not null"), ["document_id"], "upload_timestamp", ["metadata_json"])
+
+
+def resolved(rows: DataFrame, asked: DataFrame, key: str, size: int) -> DataFrame:
+    """``asked(prefix)``, prefixes of ``size`` characters, to ``(prefix, key, status)``: found, ambiguous or missing."""
+    known = rows.select(F.substring(key, 1, size).alias("prefix"), key).distinct().groupBy("prefix").agg(F.count("*").alias("n"), F.min(key).alias(key))
+    found = asked.select("prefix").distinct().join(known, "prefix", "left")
+    status = F.when(F.col("n").isNull(), "missing").when(F.col("n") > 1, "ambiguous").otherwise("found")
+    return found.select("prefix", F.when(F.col("n") == 1, F.col(key)).alias(key), status.alias("status"))
+
+
 def embedding_preview(vectors: DataFrame, key: str = "vec_id", column: str = "embedding", shown: int = 8) -> DataFrame:
     """Width and first values; never whole vectors."""
     return vectors.select(key, F.size(column).alias("dimensions"), F.slice(column, 1, shown).alias("preview"))

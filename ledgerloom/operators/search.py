@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.vocabulary import BOOST_ONLY, FACETS, FILTERABLE, NA
+from ledgerloom.vocabulary import BOOST_ONLY, FILTERABLE, NA
 
 K1, B = 1.2, 0.75
 #: The constant of reciprocal rank fusion (Cormack, Clarke, Buettcher 2009).
@@ -79,7 +79,7 @@ def query_terms(question: str) -> list[str]:
     return list(dict.fromkeys(re.findall(r"[a-z0-9]+", question.lower())))
 
 
-def _times(words: str, term: str) -> Column:
+def _times(words: Column, term: str) -> Column:
     return F.size(F.filter(words, lambda w: w == term))
 
 
@@ -90,8 +90,10 @@ def bm25(chunks: DataFrame, question: str, text: str = "content", key: str = "ch
     matching chunks move, and the statistics of the collection are one aggregate.
     """
     terms = query_terms(question)
+    # one array of counts for each text: the transform holds the split words, so that they are made once
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), "[^a-z0-9]+"), lambda w: w != "")
-    counted = chunks.select(key, words.alias("words")).select(key, F.size("words").alias("length"), *(_times("words", t).alias(f"t{n}") for n, t in enumerate(terms)))
+    count = F.transform(F.array(words), lambda w: F.array(F.size(w), *(_times(w, t) for t in terms)))[0]
+    counted = chunks.select(key, F.explode(F.array(count)).alias("c")).select(key, F.col("c")[0].alias("length"), *(F.col("c")[n + 1].alias(f"t{n}") for n in range(len(terms))))
     if not terms:
         return counted.select(key, F.lit(0.0).alias("keyword_score")).where(F.lit(False))
     stats = counted.agg(F.count("*").alias("total"), F.avg("length").alias("mean"), *(F.count_if(F.col(f"t{n}") > 0).alias(f"df{n}") for n in range(len(terms))))
@@ -175,14 +177,67 @@ def boosted(scores: DataFrame, score: str, column: str, values: tuple[str, ...],
     return scores.withColumn(score, F.col(score) * F.when(hit, 1.0 + weight).otherwise(1.0))
 
 
+#: Buckets of the hashed vectors.
+WIDTH = 256
+
+
+def hashed_words(chunks: DataFrame, text: str, key: str) -> DataFrame:
+    """``(key, bucket, n)``: sparse vectors, the words of each text counted in ``WIDTH`` buckets of their MD5."""
+    words = F.explode(F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), "[^a-z0-9]+"), lambda w: w != "")).alias("word")
+    bucket = F.conv(F.substring(F.md5(F.encode("word", "UTF-8")), 1, 2), 16, 10).cast("int")
+    return chunks.select(key, words).groupBy(key, bucket.alias("bucket")).agg(F.count("*").alias("n"))
+
+
+def hashed_scores(chunks: DataFrame, question: str, text: str = "content", key: str = "chunk_id") -> DataFrame:
+    """``(key, vector_score)``: the cosine of TF-IDF vectors of hashed words, for chunks that share a bucket with the question.
+
+    A vector leg that needs no model, over the keys of the keyword leg; where embeddings are at
+    hand :func:`vector_scores` takes its place.
+    """
+    counts = hashed_words(chunks, text, key)
+    total = chunks.select(F.count("*").cast("double").alias("total"))
+    weights = counts.groupBy("bucket").agg(F.count("*").alias("df")).join(F.broadcast(total), F.lit(True)).select("bucket", (F.log((F.col("total") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    asked = hashed_words(chunks.sparkSession.createDataFrame([(question,)], "question string").withColumn("one", F.lit(1)), "question", "one").select("bucket", F.col("n").alias("q"))
+    both = counts.join(F.broadcast(weights), "bucket").join(F.broadcast(asked), "bucket", "left")
+    size = F.sqrt(F.sum((F.col("n") * F.col("idf")) ** 2))
+    dots = both.groupBy(key).agg(F.sum(F.col("n") * F.coalesce("q", F.lit(0)) * F.col("idf") ** 2).alias("dot"), size.alias("size"))
+    asked_size = asked.join(F.broadcast(weights), "bucket").agg(F.sqrt(F.sum((F.col("q") * F.col("idf")) ** 2)).alias("q_size"))
+    return dots.where("dot > 0").join(F.broadcast(asked_size), F.lit(True)).select(key, (F.col("dot") / (F.col("size") * F.col("q_size"))).alias("vector_score"))
+
+
+def hybrid(chunks: DataFrame, question: str, text: str = "content", key: str = "chunk_id", depth: int = 50) -> DataFrame:
+    """``(key, fused, total)``: keyword and vector ranks of the same keys fused; ``total`` is how many chunks match at all."""
+    words = bm25(chunks, question, text, key).select(key, F.round("keyword_score", 9).alias("s"))
+    vectors = hashed_scores(chunks, question, text, key).select(key, F.round("vector_score", 9).alias("s"))
+    matched = words.select(key).union(vectors.select(key)).distinct().select(F.count("*").alias("total"))
+    fused = reciprocal_rank_fusion([top(words, "s", key, depth), top(vectors, "s", key, depth)], key)
+    return fused.join(F.broadcast(matched), F.lit(True))
+
+
 def search(index: DataFrame, question: str, filters: Filters = Filters(), k: int = 10) -> DataFrame:  # noqa: B008
-    """The ``k`` best chunks of the filtered index by keyword, boosts applied, as typed evidence."""
+    """The ``k`` best chunks of the filtered index by keyword and vector, boosts applied, as typed evidence with the ``total`` before the cut."""
     kept = apply_filter(index, filters)
-    scored = bm25(kept, question).join(kept.drop("search_score"), "chunk_id").withColumnRenamed("keyword_score", "search_score")
+    scored = hybrid(kept, question).join(kept.drop("search_score"), "chunk_id").withColumnRenamed("fused", "search_score")
     best = top(boosted(scored, "search_score", "jurisdictions", filters.boost_jurisdictions), "search_score", "chunk_id", k)
     return evidence(best)
 
 
+def preview(index: DataFrame, question: str, condition: Column | None = None, k: int = 5, shown: int = 300) -> DataFrame:
+    """The best chunks by keyword under any condition, with the first characters of their text."""
+    kept = index if condition is None else index.where(condition)
+    best = top(bm25(kept, question), "keyword_score", "chunk_id", k)
+    return best.join(kept.select("chunk_id", F.substring("content", 1, shown).alias("preview")), "chunk_id").select("rank", "chunk_id", "keyword_score", "preview")
+
+
+def filters_of(draft: dict) -> Filters:
+    """The filters of an understood question: entities and topic must hold, jurisdictions only raise."""
+    return Filters(entities=tuple(draft.get("entities") or ()), tax_topic=draft.get("topic") or None, boost_jurisdictions=tuple(draft.get("jurisdictions") or ()))
+
+
+def search_understood(index: DataFrame, draft: dict, k: int = 10) -> DataFrame:
+    return search(index, draft["internal_search_query"], filters_of(draft), k)
+
+
 def evidence(rows: DataFrame) -> DataFrame:
     """NULL lists empty, unknown types ``OTHER``, unknown states ``UNKNOWN``."""
     lists = ["entities", "business_units", "jurisdictions", "tax_concepts", "material_facts"]
@@ -200,16 +255,25 @@ def citation_label() -> Column:
     return F.when(F.col("message_id").isNotNull(), by_message).when(F.col("page_number").isNotNull(), by_page).otherwise(F.col("source_file"))
 
 
-def facets(index: DataFrame, names: list[str] = FACETS) -> DataFrame:
+def facets(index: DataFrame, names: list[str]) -> DataFrame:
     """``(field, value, n)``: one scan for all fields, counted before anything moves."""
     entries = F.explode(F.array(*(F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in names))).alias("f")
     return index.select(entries).select("f.field", "f.value").where("value is not null").groupBy("field", "value").agg(F.count("*").alias("n"))
 
 
 def ranked_sources(evidence_rows: DataFrame, score: str = "search_score") -> DataFrame:
-    """Sources by the rank of their best chunk."""
-    best = evidence_rows.where(F.col(score).isNotNull()).groupBy("source_id").agg(F.max(score).alias("best_score"))
-    return best
+    """``(source_id, best_score)`` of sources by their best chunk."""
+    return evidence_rows.where(F.col(score).isNotNull()).groupBy("source_id").agg(F.max(score).alias("best_score"))
+
+
+def source_ranks(ranked: DataFrame) -> DataFrame:
+    """``ranked(source_id, rank)`` to each source with its best rank."""
+    return ranked.groupBy("source_id").agg(F.min("rank").alias("rank"))
+
+
+def cited_by_origin(rows: DataFrame, origin: Column) -> DataFrame:
+    """``(origin, source_id)``: the different sources of each origin."""
+    return rows.select(origin.alias("origin"), "source_id").where("source_id is not null").distinct()
 
 
 def invented_citations(claims: DataFrame, retrieved: DataFrame) -> DataFrame:

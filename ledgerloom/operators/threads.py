@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.cleaning import clean_message_body
-from ledgerloom.functions.headers import display_name, is_junk, normalize_subject
+from ledgerloom.functions.headers import display_name, is_junk, normalize_subject, split_recipients
 from ledgerloom.vocabulary import HEADER_LABELS, NA
 
 MESSAGE = T.StructType(
@@ -124,6 +124,34 @@ def thread_messages(threads: DataFrame) -> DataFrame:
     return cleaned_messages(threads.select("document_id", F.explode(split_thread("text", "subject")).alias("m")), "document_id")
 
 
+def native_threads(files: DataFrame) -> DataFrame:
+    """``files(document_id, text)`` of mail files, a head of headers above ``---``, to a row for each message with clean bodies.
+
+    The outer headers are those of the newest message, whatever the body says of it; older messages
+    come from the history quoted in the body.  A file without a head is one thread of its text.
+    """
+    cut = F.when(F.col("text").contains("\n---\n"), F.instr("text", "\n---\n")).otherwise(0)
+    parts = files.select("document_id", "text", cut.alias("at")).select("document_id", F.substring("text", F.lit(1), F.col("at")).alias("head"), F.when(F.col("at") > 0, F.substring("text", F.col("at") + 5, F.length("text"))).otherwise(F.col("text")).alias("body"))
+    header = lambda name: F.nullif(F.trim(F.regexp_extract("head", rf"(?im)^{name}:[ \t]*(.*)$", 1)), F.lit(""))
+    outer = parts.withColumns({"subject": header("subject"), "outer": F.struct(header("from").alias("sender"), header("to").alias("to"), header("cc").alias("cc"), header("date").alias("date"))})
+    split = outer.withColumn("messages", split_thread("body", "subject"))
+    newest = F.size("messages")
+    each = split.select("document_id", "outer", "subject", newest.alias("newest"), F.explode("messages").alias("m"))
+    own = (F.col("m.message_index") == F.col("newest")) & F.col("outer.sender").isNotNull()
+    pick = lambda given, found: F.when(own, F.coalesce(given, found)).otherwise(found)
+    m = F.struct(
+        F.col("m.message_index").alias("message_index"),
+        pick(F.col("outer.sender"), F.col("m.sender")).alias("sender"),
+        pick(split_recipients(F.col("outer.to")), F.col("m.recipients")).alias("recipients"),
+        pick(split_recipients(F.col("outer.cc")), F.col("m.cc")).alias("cc"),
+        pick(F.col("outer.date"), F.col("m.message_date")).alias("message_date"),
+        F.when(own, normalize_subject(F.col("subject"))).otherwise(F.col("m.subject")).alias("subject"),
+        F.col("m.body").alias("body"),
+        F.col("m.page_number").alias("page_number"),
+    )
+    return cleaned_messages(each.select("document_id", m.alias("m")), "document_id")
+
+
 def render_thread(messages: Column) -> Column:
     """Messages as one text: a title, the headers that are there, the body."""
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import cleaning, headers, ids
 from ledgerloom.operators import chunking, index, threads
+from ledgerloom.session import cut_lineage
 from ledgerloom.sources import files
 
 
@@ -29,24 +30,33 @@ def normalize(extracted: DataFrame) -> DataFrame:
     return rows.withColumn("content_hash", ids.content_hash(F.col("content")))
 
 
-def run(spark: SparkSession, folder: str, out: str, *, previous: DataFrame | None = None, previous_index: DataFrame | None = None, force: bool = False, dry_run: bool = False, size: int = chunking.SIZE, overlap: int = chunking.OVERLAP, enrich: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def run(spark: SparkSession, folder: str, out: str, *, previous: DataFrame | None = None, previous_index: DataFrame | None = None, force: bool = False, dry_run: bool = False, size: int = chunking.SIZE, overlap: int = chunking.OVERLAP, enrich: Callable[[DataFrame], DataFrame] | None = None, on_enrichment_failure: str = "index_anyway", prefix: str = "", limit: int | None = None) -> DataFrame:
     """List, extract, normalise, enrich and chunk a folder of files; each stage is a table below ``out``.
 
     Returns the status of each document: ``(document_id, status, chunks, error)``.  Unsupported files
     are skipped, failures go on as rows; a dry run stops after chunking.  Unless forced, unchanged
     documents of ``previous`` keep their chunks of ``previous_index`` and are cut anew where it has
     none; chunks of changed and deleted documents go.  Each run writes the whole index, so ``out`` is
-    another folder than that of the run before.  Keys are stable, so a repeated stage writes the same rows.
+    another folder than that of the run before.  ``enrich`` adds ``enrichment_status``; under the policy ``fail``
+    documents whose status is not ``ok`` fail, under ``index_anyway`` they go on.  Keys are stable, so a repeated stage writes the same rows.
     """
-    listed = files.list_files(spark, folder)
+    if on_enrichment_failure not in ("index_anyway", "fail"):
+        raise ValueError("the policy is index_anyway or fail")
+    listed = files.list_files(spark, folder, prefix, limit)
     skipped = listed.where("not supported").select(ids.document_id(F.col("path")).alias("document_id"), F.lit("SKIPPED").alias("status"), F.lit(0).cast("bigint").alias("chunks"), F.lit(None).cast("string").alias("error"))
-    normalize(files.extract_files(spark, folder)).write.mode("overwrite").parquet(f"{out}/normalized")
+    extracted = files.extract_files(spark, folder)
+    extracted = extracted.join(listed.select("path"), "path", "left_semi") if prefix or limit else extracted
+    normalize(extracted).write.mode("overwrite").parquet(f"{out}/normalized")
     documents = spark.read.parquet(f"{out}/normalized")
     good = documents.where("error is null")
     same = index.unchanged(good, previous) if previous is not None and not force else good.where(F.lit(False))
     kept = previous_index.join(same.select("document_id"), "document_id", "left_semi") if previous_index is not None else None
     todo = good.join(kept.select("document_id").distinct(), "document_id", "left_anti") if kept is not None else good
     todo = enrich(todo) if enrich else todo
+    refused = todo.select("document_id", F.lit(None).cast("string").alias("guard_error")).where(F.lit(False))
+    if enrich:
+        guarded = cut_lineage(chunking.enrichment_guard(todo, on_enrichment_failure == "fail"))
+        refused, todo = guarded.where("guard_error is not null").select("document_id", "guard_error"), guarded.where("guard_error is null")
     plain = chunking.chunk_documents(todo.where("not is_email_thread or size(messages) = 0"), size, overlap).select("chunk_id", "document_id", "chunk_number", "total_chunks", "content", "token_count", "citation", "chunk_strategy")
     mails = todo.where("is_email_thread").select("document_id", "source_file", F.lit("n/a").alias("author"), F.explode("messages").alias("m")).select("document_id", "source_file", "author", "m.*")
     every = plain.unionByName(chunking.chunk_messages(mails, size, overlap).select(*plain.columns))
@@ -55,6 +65,7 @@ def run(spark: SparkSession, folder: str, out: str, *, previous: DataFrame | Non
     chunks = spark.read.parquet(f"{out}/chunks")
     counts = chunks.groupBy("document_id").agg(F.count("*").alias("chunks"))
     status = F.when(F.col("error").isNotNull(), "FAILED").when(F.col("same").isNotNull(), "UNCHANGED").when(F.lit(dry_run), "DRY_RUN").otherwise("INDEXED")
+    documents = documents.join(refused, "document_id", "left").withColumn("error", F.coalesce("error", "guard_error"))
     done = documents.join(same.select("document_id", F.lit(1).alias("same")), "document_id", "left").join(counts, "document_id", "left")
     if not dry_run:
         chunks.write.mode("overwrite").parquet(f"{out}/index")

@@ -36,8 +36,23 @@ STATES = (
 STREET_WORDS = "street|st|avenue|ave|boulevard|blvd|road|rd|drive|dr|lane|ln|way|court|ct|place|pl|parkway|pkwy|highway|hwy|suite|ste|floor|fl|plaza|tower|centre|center"
 PHONE_TOKEN, ADDRESS_TOKEN, EMAIL_TOKEN, DISCLAIMER_TOKEN = "[phone removed]", "[address removed]", "[email removed]", "[disclaimer removed]"
 
-#: What a filter may name, what only boosts, and what must be there on write.
-FILTERABLE = ["source_id", "chunk_id", "tax_topic", "subtopic", "evidence_type", "semantic_state", "entities", "business_units", "sent_date", "sender", "thread_id"]
+#: What a filter may name, what only boosts, what must be there on write, and what is counted by value.
+FILTERABLE = [
+    "source_id", "source_file", "thread_id", "message_id", "sent_date", "tax_topic", "subtopic", "entities", "business_units", "jurisdictions", "tax_concepts", "evidence_type", "semantic_state",
+]
 BOOST_ONLY = ["jurisdictions"]
-REQUIRED_ON_WRITE = ["chunk_id", "source_id", "source_file", "content", "evidence_type"]
-FACETS = ["tax_topic", "evidence_type", "semantic_state"]
+REQUIRED_ON_WRITE = ["chunk_id", "source_id", "source_file", "content", "content_vector"]
+FACETS = ["jurisdiction", "tax_topic", "authority_level", "source_type", "legal_entity", "business_unit", "scenario_id"]
+#: The fields of a chunk in the index: type, and what can be done with it (k key, s searched, f filtered, c counted as a facet, o ordered by).
+INDEX_FIELDS = {
+    "chunk_id": ("string", "kf"), "document_id": ("string", "fc"), "chunk_number": ("int", "fo"), "total_chunks": ("int", "f"), "content": ("string", "s"), "content_vector": ("array<float>", "s"),
+    "scenario_id": ("string", "sfc"), "scenario_ids": ("array<string>", "sfc"), "source_id": ("string", "f"), "source_file": ("string", "sfc"), "source_type": ("string", "sfc"), "source_date": ("string", "fo"),
+    "author": ("string", "sfc"), "page_number": ("int", "fo"), "tax_topic": ("string", "sfc"), "jurisdiction": ("string", "sfc"), "tax_year_or_effective_period": ("string", "sfc"), "authority_level": ("string", "sfc"),
+    "legal_entity": ("string", "sfc"), "business_unit": ("string", "sfc"), "thread_subject": ("string", "sfc"), "message_date": ("string", "fo"), "message_index": ("int", "fo"), "validity_status": ("string", "fc"),
+    "current_or_superseded": ("string", "fc"), "access_classification": ("string", "fc"), "citation": ("string", "f"), "token_count": ("int", "fo"), "chunk_strategy": ("string", "fc"), "chunk_timestamp": ("string", "fo"),
+}
+#: What models call some entries of the closed lists; looked for in this order, anywhere in an answer.
+JURISDICTION_ALIASES = {
+    "the netherlands": "Netherlands", "holland": "Netherlands", "nl": "Netherlands", "uk": "United Kingdom", "great britain": "United Kingdom", "usa": "Federal", "united states": "Federal",
+    "us federal": "Federal", "prc": "China", "people's republic of china": "China", "korea": "South Korea", "eu": "European Union",
+}
