@@ -1,17 +1,21 @@
 """Quoted history, signatures and boilerplate removed from mails.
 
-1. The layout (:mod:`own_lines`) marks quoted lines, the lines that introduce them, signatures and
-   footers; what it leaves is joined to paragraphs and split into sentences.
-2. Each sentence of ``MIN_WORDS`` words gets a print of 256 bits, one for each pair of neighbouring
-   characters that it has.  One edit changes at most four of them, so that within a thread no
-   near-match is lost: different sentences with the same figures meet there, and those whose
-   lengths and prints allow it are compared.  Sentences below signatures meet across threads, on
+1. All lines of a mail, quoted ones without their marks, are joined to paragraphs and split into
+   sentences.  A sentence of ``MIN_WORDS`` words gets a fingerprint of its words and a print of 256
+   bits, one for each pair of neighbouring characters that it has.  A sentence whose fingerprint an
+   earlier mail of the thread has is inherited; this removes most of the quoted history.
+2. One edit changes at most four bits of a print, so that within a thread no near-match is lost:
+   different sentences with the same figures meet there, and those whose lengths and prints allow
+   it are compared.  Sentences below a signature, or below the sender's name, meet across threads, on
    ``BANDS`` anchors of ``ROWS`` minima over their runs of three characters.
 3. Near-matches are verified by their edit distance.  A sentence that an earlier mail of the
    thread already said is inherited, unless its figures are others; a sentence below a signature
    that ``SHARED_BY`` mails close with is boilerplate.  A line of which every sentence is either is
    not newly written.  Shorter sentences count as boilerplate too, but are never inherited:
    greetings and answers such as "Will do." are written anew each time.
+4. What no earlier mail holds is left to the layout (:mod:`own_lines`): lines that introduce a
+   quotation, quotations of mails that are not there, signatures and footers.  :func:`removed_lines`
+   says how many lines each step removes.
 
 Sentences below signatures are counted before they are compared, so that a disclaimer on a third
 of all mails is one row and no hot key.
@@ -27,12 +31,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.session import written
+from ledgerloom.session import spread, written
 
-from .own_lines import own_lines
+from .own_lines import is_name, own_lines, sender_tokens
 from .words import mix, words_of
 
 MIN_WORDS = 6
@@ -42,9 +47,10 @@ EDITS = 0.15
 #: Sentences below a signature that so many mails share are boilerplate.
 SHARED_BY = 5
 
-SENTENCES = "record_id string, thread bigint, position int, tail boolean, lines array<int>, sentence string, figures string, print array<bigint>"
+SENTENCES = "record_id string, thread bigint, position int, own boolean, tail boolean, said bigint, lines array<int>, sentence string, figures string, print array<bigint>"
 _END = re.compile(r"(?<=[.!?])\s+")
 _FIGURES = re.compile(r"\d+")
+_MARKS = re.compile(r"^\s*(?:[>|]\s?)+")
 _FACTORS = mix(np.arange(1, 2 * BANDS * ROWS, 2, dtype=np.uint64)) | np.uint64(1)
 _SHIFTS = mix(np.arange(2, 2 * BANDS * ROWS + 1, 2, dtype=np.uint64))
 
@@ -109,12 +115,20 @@ def _sentences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     if k in mine and above is not None and (above in tails or (above not in mine and lines[above].lstrip()[:1] not in (">", "|"))):
                         tails.add(k)
                     above = k
-            for covered, sentence in sentences_of(lines, own):
-                words = words_of(sentence)
-                seen, tail = len(words) >= MIN_WORDS, covered[0] in tails
-                figures = " ".join(sorted(_FIGURES.findall(sentence))) if seen else None
-                rows.append((record_id, thread, position, tail, [skip + k + 1 for k in covered], sentence if seen or tail else None, figures, _print(sentence) if seen else None))
-        yield pd.DataFrame(rows, columns=["record_id", "thread", "position", "tail", "lines", "sentence", "figures", "print"])
+            tokens = sender_tokens(sender)
+            bare = [_MARKS.sub("", x) for x in lines]
+            named = next((k for k, (x, y) in enumerate(zip(lines, bare, strict=True)) if x == y and is_name(x, tokens)), len(lines))
+            rest = [k for k, x in enumerate(bare) if k not in mine and x.strip()]
+            for numbers, of in ((own, True), (rest, False)):
+                for covered, sentence in sentences_of(bare, numbers):
+                    words = words_of(sentence)
+                    seen, tail = len(words) >= MIN_WORDS, of and (covered[0] in tails or covered[0] > named)
+                    if not (of or seen):
+                        continue  # left to the layout
+                    said = xxhash.xxh3_64_intdigest(" ".join(words)) - (1 << 63) if seen else None
+                    figures = " ".join(sorted(_FIGURES.findall(sentence))) if seen and of else None
+                    rows.append((record_id, thread, position, of, tail, said, [skip + k + 1 for k in covered], sentence if (seen and of) or tail else None, figures, _print(sentence) if seen and of else None))
+        yield pd.DataFrame(rows, columns=["record_id", "thread", "position", "own", "tail", "said", "lines", "sentence", "figures", "print"]).astype({"said": "Int64"})
 
 
 def _anchored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -140,8 +154,15 @@ def boilerplate(sentences: DataFrame) -> DataFrame:
     return near.groupBy("sentence").agg(F.sum("other_mails").alias("n")).where(F.col("n") >= SHARED_BY).select("sentence")
 
 
+def repeated(sentences: DataFrame) -> DataFrame:
+    """``(sentence_id)`` of sentences whose words an earlier mail of the thread has, by their fingerprints."""
+    said = sentences.where("said is not null and thread is not null and position is not null")
+    first = said.groupBy("thread", "said").agg(F.min("position").alias("since"), F.max("position").alias("last")).where("since < last")
+    return said.select("thread", "said", "position", "sentence_id").join(first, ["thread", "said"]).where("position > since").select("sentence_id").distinct()
+
+
 def inherited(sentences: DataFrame) -> DataFrame:
-    """``(sentence_id)`` of sentences that an earlier mail of the thread said in nearly these words, with the same figures."""
+    """``(sentence_id)`` of the layout's sentences that an earlier mail of the thread said in nearly these words, with the same figures."""
     said = sentences.where("print is not null and thread is not null and position is not null")
     spans = said.groupBy("thread").agg(F.min("position").alias("begin"), F.max("position").alias("end")).where("begin < end").select("thread")
     texts = said.join(spans, "thread").groupBy("thread", "figures", "sentence").agg(F.min("position").alias("first"), F.max("position").alias("last"), F.any_value("print").alias("print"))
@@ -154,19 +175,38 @@ def inherited(sentences: DataFrame) -> DataFrame:
     return said.join(found, ["thread", "sentence"]).where("position > since").select("sentence_id").distinct()
 
 
+def _analysed(mails: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The sentences of all mails, and ``(sentence_id, step)`` of those that fingerprints remove."""
+    texts = spread(mails.where("record_id is not null and text is not null and text <> ''"))
+    sentences = written(texts.mapInPandas(_sentences, SENTENCES).withColumn("sentence_id", F.xxhash64("record_id", "lines", "said", "sentence")))
+    shared = written(boilerplate(sentences))
+    tails = sentences.where("tail and sentence is not null").select("sentence_id", "sentence").join(shared, "sentence").select("sentence_id")
+    steps = [(repeated(sentences), "repeated"), (inherited(sentences), "nearly repeated"), (tails, "boilerplate")]
+    gone = [df.select("sentence_id", F.lit(step).alias("step")) for df, step in steps]
+    return sentences, written(gone[0].unionByName(gone[1]).unionByName(gone[2]).groupBy("sentence_id").agg(F.max("step").alias("step")))
+
+
 def newly_written(mails: DataFrame) -> DataFrame:
     """``mails(record_id, thread, position, headed, sender, text)`` to ``(record_id, line_no)``."""
-    texts = mails.where("record_id is not null and text is not null and text <> ''")
-    sentences = texts.mapInPandas(_sentences, SENTENCES).withColumn("sentence_id", F.xxhash64("record_id", "lines", "sentence"))
-    sentences = written(sentences)
-    gone = inherited(sentences).withColumn("gone", F.lit(True))
-    shared = written(boilerplate(sentences)).withColumn("shared", F.lit(True))
-    tails = sentences.where("tail and sentence is not null").select("sentence_id", "sentence").join(shared, "sentence").select("sentence_id").withColumn("gone", F.lit(True))
-    dropped = written(gone.unionByName(tails).distinct())
-    kept = sentences.select("record_id", "lines", "sentence_id").join(dropped, "sentence_id", "left_anti")
+    sentences, dropped = _analysed(mails)
+    kept = sentences.where("own").select("record_id", "lines", "sentence_id").join(dropped, "sentence_id", "left_anti")
     return kept.select("record_id", F.explode("lines").alias("line_no")).distinct()
 
 
+def removed_lines(mails: DataFrame) -> DataFrame:
+    """``(step, lines)``: how many lines each step removes; a line that fingerprints remove is not counted for the layout."""
+    sentences, dropped = _analysed(mails)
+    of_lines = sentences.join(dropped, "sentence_id", "left").select("record_id", "own", "step", F.explode("lines").alias("line_no"))
+    # a line stays if one of its sentences is the sender's own
+    by_line = of_lines.groupBy("record_id", "line_no").agg(F.max(F.when(F.col("own") & F.col("step").isNull(), "written")).alias("kept"), F.max("step").alias("step"))
+    counted = by_line.select(F.coalesce("kept", "step", F.lit("layout")).alias("step")).groupBy("step").agg(F.count("*").alias("lines"))
+    filled = F.size(F.filter(F.split("text", "\n"), lambda x: F.trim(x) != ""))
+    every = mails.where("record_id is not null and text is not null").select("record_id", "text").distinct().agg(F.sum(filled).alias("lines"))
+    seen = counted.where("step <> 'layout'")
+    layout = every.unionByName(seen.select(F.negative("lines").alias("lines"))).agg(F.sum("lines").alias("lines")).select(F.lit("layout").alias("step"), "lines")
+    return seen.unionByName(layout)
+
+
 def mail_texts(messages: DataFrame, extracted: DataFrame) -> DataFrame:
     """The bodies of messages and the texts of mail files, placed in their threads."""
     bodies = messages.select(F.col("message_id").alias("record_id"), F.when(F.col("document_id").isNotNull(), F.xxhash64("document_id")).alias("thread"), F.col("message_index").alias("position"), F.lit(False).alias("headed"), "sender", F.col("body").alias("text"))

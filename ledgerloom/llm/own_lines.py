@@ -34,7 +34,7 @@ _CONTACT = re.compile(r"@|\+?\(?\d{2,5}\)?[ .-]\d{3,5}[ .-]\d{3,4}|, [A-Z]{2} \d
 _TITLE = re.compile(r"\s*[A-ZÀ-Þ][\wÀ-ÿ.&,-]*(?: (?:of|de|und|and|für|[A-ZÀ-Þ&][\wÀ-ÿ.&,-]*)){0,5}\s*$")
 
 
-def _is_name(line: str, tokens: set[str]) -> bool:
+def is_name(line: str, tokens: set[str]) -> bool:
     """The sender's own name alone on a line."""
     words = re.findall(r"[^\W\d_]+", line)
     if not 1 <= len(words) <= 5 or line.rstrip().endswith((",", ":", "?", "!", ";")) or re.search(r"\d|@", line):
@@ -49,7 +49,7 @@ def _contact(line: str, tokens: set[str]) -> bool:
     text = line.strip()
     if len(text) > 70:
         return False
-    return bool(_CONTACT.search(text) or _TITLE.match(text) or _is_name(text, tokens) or _DELIMITER.match(text))
+    return bool(_CONTACT.search(text) or _TITLE.match(text) or is_name(text, tokens) or _DELIMITER.match(text))
 
 
 def sender_tokens(sender: str | None) -> set[str]:
@@ -133,11 +133,11 @@ def _signature(lines: list[str], quoted: list[bool], blank: list[bool], after: l
     """Where the closing formula, name and contact lines end, if they begin here."""
     n, line = len(lines), lines[i].strip()
     closing = line.lower().rstrip(",.! ") in CLOSINGS and not line.endswith(".")
-    if not closing and len(line) <= 24 and line.endswith(",") and after[i + 1] < n and _is_name(lines[after[i + 1]], tokens):
+    if not closing and len(line) <= 24 and line.endswith(",") and after[i + 1] < n and is_name(lines[after[i + 1]], tokens):
         closing = any(one_edit(line.lower().rstrip(","), c) for c in CLOSINGS)
     delimiter = bool(_DELIMITER.match(lines[i]))
-    dash_name = bool(re.match(r"\s*[-–—] ?[A-ZÀ-Þ]\w+\s*$", lines[i])) and (not tokens or _is_name(line.lstrip("-–— "), tokens))
-    own_name = _is_name(line, tokens)
+    dash_name = bool(re.match(r"\s*[-–—] ?[A-ZÀ-Þ]\w+\s*$", lines[i])) and (not tokens or is_name(line.lstrip("-–— "), tokens))
+    own_name = is_name(line, tokens)
     after_me = after[i + 1]
     if own_name and not closing:
         # a name needs contact lines below it, or nothing of its paragraph
@@ -147,7 +147,7 @@ def _signature(lines: list[str], quoted: list[bool], blank: list[bool], after: l
         return 0
     end = i + 1
     if (closing or delimiter) and after_me < n and not quoted[after_me] and _contact(lines[after_me], tokens) and not _HEAD.match(lines[after_me]) and after_me - end <= 2 and not _SEPARATOR.match(lines[after_me]):
-        if _is_name(lines[after_me], tokens) or after_me == i + 1 or delimiter or not tokens or _TITLE.match(lines[after_me].strip()):
+        if is_name(lines[after_me], tokens) or after_me == i + 1 or delimiter or not tokens or _TITLE.match(lines[after_me].strip()):
             end = after_me
     while end < n and not blank[end] and not quoted[end] and _contact(lines[end], tokens) and not (_HEAD.match(lines[end]) and _FROM.match(lines[end])) and not _SEPARATOR.match(lines[end]) and not _DEVICE.match(lines[end]):
         end += 1

@@ -52,6 +52,12 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.newly_written(history.mail_texts(table(spark, sf_dir, "email_messages"), table(spark, sf_dir, "extracted")))
 
 
+@query()
+def p3_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines each step removes from the mails."""
+    return history.removed_lines(history.mail_texts(table(spark, sf_dir, "email_messages"), table(spark, sf_dir, "extracted")))
+
+
 @query()
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Strings of senders and recipients that mean the same person or organisation."""
