@@ -15,13 +15,18 @@ one row; NULL keys are left out.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.session import spread
+
 from .words import hash_words, window_prints, words_of
 
 WINDOW = 13
@@ -116,7 +121,10 @@ def leaked_windows(documents: DataFrame, items: DataFrame, *, size: int = WINDOW
     pick = lambda df: df.select(F.col("key").cast("string").alias("key"), "text").where("key is not null and text is not null")
     of_items = pick(items).mapInPandas(_windows(size, radius, None), WINDOWS)
     prints = of_items.select("print").distinct().limit(max_broadcast + 1).toPandas()["print"]
-    known = prints.to_numpy(np.int64).view(np.uint64) if 0 < len(prints) <= max_broadcast else None
+    if not len(prints):  # no item is long enough
+        none = F.lit(None).cast("string")
+        return pick(documents).limit(0).select("key", none.alias("item"), none.alias("words"), none.alias("item_words"), F.lit(0.0).alias("similarity"))
+    known = prints.to_numpy(np.int64).view(np.uint64) if len(prints) <= max_broadcast else None
     of_documents = pick(documents).mapInPandas(_windows(size, radius, known), WINDOWS)
     right = of_items.select(F.col("key").alias("item"), "block_no", "block", F.col("print").alias("item_print"), F.col("words").alias("item_words"))
     pairs = of_documents.join(right, ["block_no", "block"]).where(F.bit_count(F.col("print").bitwiseXOR(F.col("item_print"))) <= radius)
@@ -124,6 +132,104 @@ def leaked_windows(documents: DataFrame, items: DataFrame, *, size: int = WINDOW
     return pairs.withColumn("similarity", weighted_similarity(F.col("words"), F.col("item_words"))).where(F.col("similarity") >= similarity)
 
 
+#: Near leaks: window sizes for short and long items, the step between windows of an item, and what an edit in ten words leaves.
+NEAR_SIZES, STEP, NEAR_RADIUS, PAIR, NEAR_SIMILARITY = (16, 32), 8, 11, 2, 0.5
+_BLOCKS, _BITS = 4, 16
+
+
+class _Near:
+    """All item fingerprints within ``NEAR_RADIUS`` bits of others, by multi-index hashing.
+
+    Of four blocks one differs in at most ``NEAR_RADIUS // 4`` bits: each block is a table from a
+    value to the items with a block so near.
+    """
+
+    def __init__(self, prints: np.ndarray) -> None:
+        self.prints = prints
+        masks = np.array([sum(1 << k for k in c) for n in range(NEAR_RADIUS // _BLOCKS + 1) for c in combinations(range(_BITS), n)], np.int64)
+        self.tables = []
+        for block in self._cut(prints):
+            values = (block[:, None] ^ masks).ravel()
+            order = np.argsort(values, kind="stable")
+            self.tables.append((np.searchsorted(values[order], np.arange((1 << _BITS) + 1)), (order // len(masks)).astype(np.int32)))
+
+    @staticmethod
+    def _cut(prints: np.ndarray) -> list[np.ndarray]:
+        return [(prints >> np.uint64(_BITS * k) & np.uint64((1 << _BITS) - 1)).astype(np.int64) for k in range(_BLOCKS)]
+
+    def __call__(self, prints: np.ndarray) -> np.ndarray:
+        """Rows of (position in ``prints``, item)."""
+        found = []
+        for (starts, items), block in zip(self.tables, self._cut(prints), strict=True):
+            sizes = starts[block + 1] - starts[block]
+            at = np.repeat(np.arange(len(prints)), sizes)
+            item = items[np.repeat(starts[block] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())]
+            near = np.bitwise_count(prints[at] ^ self.prints[item]) <= NEAR_RADIUS
+            found.append(np.stack([at[near], item[near]], axis=1))
+        return np.unique(np.concatenate(found), axis=0)
+
+
+def _pairs(words: list[str]) -> Counter:
+    return Counter(zip(*(words[k:] for k in range(PAIR)), strict=False))
+
+
+def _near_windows(shared: Broadcast, size: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        items, texts, prints = shared.value
+        index, bags = _Near(prints), [_pairs(t.split(" ")) for t in texts]
+        for batch in batches:
+            rows: dict[tuple[str, str], float] = {}
+            for key, text in zip(batch["key"], batch["text"], strict=True):
+                words = words_of(text)
+                for begin in range(0, max(len(words) - size + 1, 0), SLAB):
+                    part = words[begin : begin + SLAB + size - 1]
+                    for at, item in index(window_prints(hash_words(part), size)):
+                        mine = _pairs(part[at : at + size])
+                        both = (mine & bags[item]).total()
+                        similarity = both / (mine.total() + bags[item].total() - both)
+                        if similarity >= NEAR_SIMILARITY and similarity > rows.get((key, items[item]), 0.0):
+                            rows[key, items[item]] = similarity
+            yield pd.DataFrame([(*k, v) for k, v in rows.items()], columns=["key", "item", "similarity"])
+
+    return run
+
+
+def _item_windows(size: int, longest: int | None):
+    """Windows of the texts that have at least ``size`` words and fewer than ``longest``, ``STEP`` apart."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for key, text in zip(batch["key"], batch["text"], strict=True):
+                words = words_of(text)
+                if len(words) >= size and (longest is None or len(words) < longest):
+                    prints = window_prints(hash_words(words), size).view(np.int64)
+                    rows += [(key, " ".join(words[k : k + size]), int(prints[k])) for k in range(0, len(prints), STEP)]
+            yield pd.DataFrame(rows, columns=["item", "words", "print"])
+
+    return run
+
+
+def near_leaks(documents: DataFrame, items: DataFrame, max_broadcast: int = 20_000) -> DataFrame:
+    """``(key, item, similarity)``: documents that hold a window of an item with about one edit in ten words.
+
+    Fingerprints within ``NEAR_RADIUS`` bits are found without loss; the weighted similarity of word pairs verifies.
+    Items go to the tasks, ``max_broadcast`` windows at a time; more take further scans of the documents.
+    """
+    spark = documents.sparkSession
+    pick = lambda df: df.select(F.col("key").cast("string").alias("key"), "text").where("key is not null and text is not null")
+    found = pick(documents).limit(0).select("key", F.col("key").alias("item"), F.lit(0.0).alias("similarity"))
+    texts = spread(pick(documents))
+    for size, longest in zip(NEAR_SIZES, [*NEAR_SIZES[1:], None], strict=True):
+        windows = pick(items).mapInPandas(_item_windows(size, longest), "item string, words string, print bigint").distinct()
+        parts = -(-windows.count() // max_broadcast)
+        for k in range(parts):
+            part = windows.where(F.pmod(F.xxhash64("item", "words"), F.lit(parts)) == k).toPandas()
+            shared = spark.sparkContext.broadcast((part["item"].tolist(), part["words"].tolist(), part["print"].to_numpy(np.int64).view(np.uint64)))
+            found = found.unionByName(texts.mapInPandas(_near_windows(shared, size), "key string, item string, similarity double"))
+    return found.groupBy("key", "item").agg(F.max("similarity").alias("similarity"))
+
+
 def item_texts(eval_cases: DataFrame) -> DataFrame:
     """The question and the passage of each item, as texts of their own."""
     texts = F.explode(F.array("question", "passage"))

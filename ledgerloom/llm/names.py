@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.session import cut_lineage
+
 # --- fixed values ---
 HONORIFICS = "dr mr mrs ms miss prof herr frau sr sra don dona ing dipl"
 LEGAL = "ltd limited llc llp inc incorporated gmbh gesellschaft mbh co corp corporation plc ag kg sa sl company the"
@@ -207,12 +209,11 @@ def name_groups(names: DataFrame) -> DataFrame:
 
 def _roots(forms: DataFrame, keys: DataFrame, parents: DataFrame) -> DataFrame:
     """Follow each key to its root; a key whose nearest keys have several roots stays alone."""
-    from ledgerloom.session import cut_lineage
-
     options = cut_lineage(parents.select("key", F.explode("near").alias("n")).select("key", F.col("n.own_key").alias("root")))
     for _ in range(4):
         above = options.groupBy("key").agg(F.min("root").alias("up"), F.countDistinct("root").alias("n")).where("n = 1").select(F.col("key").alias("root"), "up")
-        options = options.join(above, "root", "left").select("key", F.coalesce("up", "root").alias("root")).distinct()
+        # each round reads the one before twice
+        options = cut_lineage(options.join(above, "root", "left").select("key", F.coalesce("up", "root").alias("root")).distinct())
     single = options.groupBy("key").agg(F.min("root").alias("root"), F.countDistinct("root").alias("n")).where("n = 1").select("key", "root")
     return forms.join(single, "key", "left").select("name", F.coalesce("root", "key").alias("entity"))
 

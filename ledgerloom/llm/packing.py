@@ -41,6 +41,8 @@ GROUP_TOKENS, GROUP_CONTAINERS = 4_000_000, 1_000
 MAX_KINDS = 1_000
 #: Items of at least this share of the largest that fits may go before it, for the mixture.
 NEARLY = 0.97
+#: The share of a container that follows the deficits before the rest is filled by size, and the tokens that the rest has at least.
+BALANCED, CLOSING = 0.75, 2_048
 
 PLACED = "window_name string, container_id string, doc_id bigint, piece_no int, start_token bigint, n_tokens bigint, source string"
 
@@ -94,6 +96,13 @@ def pack(items: list[tuple[int, int]], sources: list[str], shares: dict[str, flo
         # the source that is owed most opens the window with its largest item
         opener = max(queues, key=lambda s: (deficit[s], s))
         room -= take(opener, len(queues[opener]) - 1)
+        # while there is much room, the queue that is owed most gives the largest item that it is owed
+        while room > max((1 - BALANCED) * capacity, CLOSING):
+            fits = [(deficit[s], s, at) for s in queues if (at := bisect_right(queues[s], (min(room, max(deficit[s], 0)), 1 << 62)))]
+            if not fits:
+                break
+            _, source, at = max(fits)
+            room -= take(source, at - 1)
         while True:  # then what fits best; among nearly equal items, that of the source that is owed most
             fits = [(queues[s][at - 1][0], s, at - 1) for s in queues if (at := bisect_right(queues[s], (room, 1 << 62)))]
             if not fits:
@@ -155,6 +164,23 @@ def packed(documents: DataFrame, windows: DataFrame, *, targets: DataFrame | Non
     return placed.unionByName(whole.select(*placed.columns))
 
 
+def mixture_report(placed: DataFrame, windows: DataFrame) -> DataFrame:
+    """``(window_name, containers, fill, distance)`` of packed containers, without those cut full from one text.
+
+    ``distance`` is half the sum over sources of the differences between their share of a container
+    and of all tokens packed, on average: 0 where every container holds the mixture.
+    """
+    held = placed.join(windows.select("window_name", F.col("capacity_tokens").cast("bigint").alias("capacity")), "window_name").where("n_tokens < capacity")
+    parts = held.groupBy("window_name", "container_id", "capacity", "source").agg(F.sum("n_tokens").alias("tokens"))
+    sums = parts.groupBy("window_name", "source").agg(F.sum("tokens").alias("tokens"))
+    every = sums.groupBy("window_name").agg(F.sum("tokens").alias("all_tokens"))
+    target = sums.join(every, "window_name").select("window_name", "source", (F.col("tokens") / F.greatest("all_tokens", F.lit(1))).alias("target"))
+    total = parts.groupBy("window_name", "container_id", "capacity").agg(F.sum("tokens").alias("total"))
+    share = F.col("tokens") / F.greatest("total", F.lit(1))
+    far = parts.join(total, ["window_name", "container_id", "capacity"]).join(target, ["window_name", "source"]).groupBy("window_name", "container_id", "capacity", "total").agg(((F.sum(F.abs(share - F.col("target"))) + 1 - F.sum("target")) / 2).alias("distance"))
+    return far.groupBy("window_name").agg(F.count("*").alias("containers"), F.round(F.sum("total") / F.sum("capacity"), 4).alias("fill"), F.round(F.avg("distance"), 4).alias("distance"))
+
+
 def fill_report(placed: DataFrame, windows: DataFrame) -> DataFrame:
     """``(window_name, containers, tokens, fill)``: the share of the room that is used."""
     sums = placed.groupBy("window_name").agg(F.countDistinct("container_id").alias("containers"), F.sum("n_tokens").alias("tokens"))

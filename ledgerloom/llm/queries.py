@@ -88,6 +88,13 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_cases"))
 
 
+@query()
+def p8_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage or question of an evaluation item with about one edit in ten words."""
+    found = leaks.near_leaks(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("key"), "text"), leaks.item_texts(table(spark, sf_dir, "eval_cases")))
+    return found.select(F.col("key").cast("bigint").alias("doc_id"), F.col("item").alias("test_id"), F.round("similarity", 4).alias("similarity"))
+
+
 @query()
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The subjects that a fifth of each document's sentences deal with."""
@@ -105,3 +112,10 @@ def p7_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How full the containers of each capacity are."""
     windows = table(spark, sf_dir, "token_windows")
     return packing.fill_report(packing.packed(table(spark, sf_dir, "documents"), windows), windows)
+
+
+@query()
+def p7_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How near the packed containers of each capacity come to the mixture of all sources."""
+    windows = table(spark, sf_dir, "token_windows")
+    return packing.mixture_report(packing.packed(table(spark, sf_dir, "documents"), windows), windows)

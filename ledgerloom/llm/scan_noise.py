@@ -7,7 +7,9 @@
    (the sum of a hash of each character) turns a confusion such as ``rn`` for ``m`` into a fixed
    difference, wherever it stands in a word: rare words join frequent ones on
    ``hash - difference`` in SQL, for one confusion and for two.
-3. Candidates are verified by replacing, and ranked by fewer confusions and then by frequency.
+3. A word broken at a line end loses its hyphen unless the texts write it with one, within lines, more
+   often than without; before a conjunction the hyphen and a blank stay.
+4. Candidates are verified by replacing, and ranked by fewer confusions and then by frequency.
 
 Defined results: NULL and empty texts give no row; records that were not scanned give none;
 repeated deliveries count once; a word without a frequent variant stays as it is.
@@ -49,6 +51,7 @@ _PAGE = re.compile(rf"(?:[-—–]\s*)?\d{{1,4}}(?:\s*[-—–])?|p\.? ?[\dlo]{{
 _BESIDE = re.compile(rf"(?P<head>\S.*?\S)\s{{2,}}(?P<page>{_PAGE.pattern})|(?P<page2>{_PAGE.pattern})\s{{2,}}(?P<head2>\S.*?\S)", re.I)
 _BREAK = re.compile(r"[-­¬‐] ?$")
 _TOKEN = re.compile(r"[^\W_]+(?:[@$][^\W_]*)*|[@$][^\W_]+(?:[@$][^\W_]*)*|@")
+_LAST = re.compile(r"[^\W_]+$")
 _PLAIN = str.maketrans("@$01568", "asolsbb")
 
 LINES = "record_id string, line_no int, noise string, edge string, words array<struct<word:string,line:int,next:int,cut:int>>"
@@ -194,8 +197,24 @@ def scans(extracted: DataFrame, documents: DataFrame) -> DataFrame:
     return files.unionByName(docs).where("record_id is not null and text is not null and text <> ''")
 
 
+def _scanned(records: DataFrame) -> DataFrame:
+    """Different scanned texts, dealt out by their number: rows of work for Python, not bytes."""
+    parts = max(int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")), records.sparkSession.sparkContext.defaultParallelism)
+    return records.where("scanned").select("record_id", "text").repartition(parts, "record_id").dropDuplicates(["record_id", "text"])
+
+
+def kept_hyphens(records: DataFrame, words: DataFrame) -> DataFrame:
+    """``(record_id, form)``: words broken at a hyphen that the texts write with one, within a line, more often than without."""
+    broken = words.where("cut > 0 and cut < length(word)").select("record_id", "word", F.concat(F.substring("word", F.lit(1), F.col("cut")), F.lit("-"), F.expr("substring(word, cut + 1)")).alias("form")).distinct()
+    hyphenated = records.select(F.explode(F.expr(r"regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+-[\\p{L}\\p{N}]+', 0)")).alias("form"))
+    joined = records.select(F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}]+")).alias("word"))
+    forms = hyphenated.groupBy("form").agg(F.count("*").alias("with"))
+    plain = joined.groupBy("word").agg(F.count("*").alias("without"))
+    return broken.join(forms, "form").join(plain, "word", "left").where(F.col("with") > F.coalesce("without", F.lit(0))).select("record_id", "form")
+
+
 def _analysed(records: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    lines = cut_lineage(records.where("scanned").select("record_id", "text").distinct().mapInPandas(_layout_rows, LINES))
+    lines = cut_lineage(_scanned(records).mapInPandas(_layout_rows, LINES))
     words = lines.where("words is not null").select("record_id", "line_no", F.explode("words").alias("w")).select("record_id", "line_no", "w.*")
     counts = words.groupBy("word").agg(F.count("*").alias("n"))
     clean = records.where("not scanned and not mail").select(F.explode(F.split(F.lower("text"), r"[^\p{L}\p{N}@$]+")).alias("word")).where("word <> ''").groupBy("word").agg(F.count("*").alias("n"))
@@ -219,7 +238,8 @@ def noise_lines(extracted: DataFrame, documents: DataFrame) -> DataFrame:
 def _rebuild(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         texts = []
-        for text, noise, fixes in zip(batch["text"], batch["noise"], batch["fixes"], strict=True):
+        for text, noise, fixes, kept in zip(batch["text"], batch["noise"], batch["fixes"], batch["kept"], strict=True):
+            kept = set(kept) if kept is not None else set()
             drop = {n["line_no"] for n in noise} if noise is not None else set()
             better = {f["rare"]: f["frequent"] for f in fixes} if fixes is not None else {}
             out: list[str] = []
@@ -234,7 +254,13 @@ def _rebuild(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 if glue == "" and (not out or (gap and ended)):
                     out.append(line.strip())
                 elif _BREAK.search(out[-1]) and line.strip()[:1].islower():
-                    out[-1] = _BREAK.sub("", out[-1]) + line.strip()
+                    before, after = _BREAK.sub("", out[-1]), line.strip()
+                    left, right = _LAST.search(before), _TOKEN.match(after)
+                    if right and right.group().lower() in CONJUNCTIONS:
+                        out[-1] = f"{before}- {after}"
+                    else:
+                        form = f"{left.group()}-{right.group()}".lower() if left and right else ""
+                        out[-1] = f"{before}-{after}" if form in kept else before + after
                 else:
                     out[-1] += " " + line.strip()
                 gap = False
@@ -258,5 +284,5 @@ def repaired(extracted: DataFrame, documents: DataFrame) -> DataFrame:
     lines, words, fixes = _analysed(records)
     gone = _noise(lines, words, fixes).where("noise in ('header', 'page')").groupBy("record_id").agg(F.collect_set(F.struct("line_no")).alias("noise"))
     used = words.select("record_id", "word").distinct().join(fixes, F.col("word") == F.col("rare")).groupBy("record_id").agg(F.collect_set(F.struct("rare", "frequent")).alias("fixes"))
-    texts = records.where("scanned").select("record_id", "text").distinct()
-    return texts.join(gone, "record_id", "left").join(used, "record_id", "left").mapInPandas(_rebuild, "record_id string, repaired string")
+    kept = kept_hyphens(records, words).groupBy("record_id").agg(F.collect_set("form").alias("kept"))
+    return _scanned(records).join(gone, "record_id", "left").join(used, "record_id", "left").join(kept, "record_id", "left").mapInPandas(_rebuild, "record_id string, repaired string")

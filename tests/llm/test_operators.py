@@ -104,6 +104,15 @@ def test_scans(spark):
     assert text == {"s1": "TITLE\n\nThe auditor would accrue the amount in the department as it would"}
 
 
+def test_hyphen_evidence(spark):
+    rows = [(f"c{k}", "A long-term plan and a post-entry rule for the department. It is a pre-tax figure.", "text", False) for k in range(4)]
+    rows.append(("s", "TITLE\n\nThe long-\nterm plan of the depart-\nment covers pre-\nand post-closing periods here.", "ocr", False))
+    extracted = spark.createDataFrame(rows, "path string, text string, extractor string, is_email_thread boolean")
+    documents = extracted.select(F.col("path").alias("document_id"), F.col("text").alias("content"), "extractor", "is_email_thread").where("false")
+    text = {r["record_id"]: r["repaired"] for r in scan_noise.repaired(extracted, documents).collect()}
+    assert text == {"s": "TITLE\n\nThe long-term plan of the department covers pre- and post-closing periods here."}
+
+
 # ---------------------------------------------------------------- 3
 
 MAIL = """Hi Bo,
@@ -282,6 +291,24 @@ def test_leaks_against_search(spark, most):
     assert {tuple(r) for r in found.select("key", "item").distinct().collect()} == want
 
 
+def test_near_leaks_with_planted_edits(spark):
+    rng = random.Random(5)
+    words = [f"{a}{b}" for a in ("led", "fac", "nex", "rec", "pay", "bin", "aud", "cus") for b in ("ger", "tor", "us", "eipt", "roll", "der", "it", "toms", "ing", "ed")]
+    items = [(f"T{k}", " ".join(rng.choices(words, k=rng.choice([20, 60])))) for k in range(60)] + [("T60", None), (None, "x " * 40), ("T61", "too short")]
+    docs, want = [], set()
+    for k, (item, text) in enumerate(items[:60]):
+        part = text.split()
+        for at in rng.sample(range(len(part)), len(part) // 10):
+            part[at] = rng.choice(words)
+        docs.append((k, " ".join([*rng.choices(words, k=30), *part, *rng.choices(words, k=30)])))
+        want.add((str(k), item))
+    docs += [(100, None), (101, ""), (102, " ".join(rng.choices(words, k=3000)))]
+    got = {(r["key"], r["item"]) for r in leaks.near_leaks(spark.createDataFrame(docs + docs[:3], "key bigint, text string"), spark.createDataFrame(items, "key string, text string")).collect()}
+    assert len(got & want) >= 0.9 * len(want) and len(got - want) <= 2
+    nothing = spark.createDataFrame([("a", "few words")], "key string, text string")
+    assert leaks.near_leaks(nothing, nothing).count() == 0 and leaks.leaked_windows(nothing, nothing).count() == 0
+
+
 # ---------------------------------------------------------------- 9
 
 
