@@ -70,3 +70,16 @@ def test_stream(spark, sf, tmp_path):
     ingest.append_messages(stream, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination(60)
     assert spark.read.parquet(str(tmp_path / "out")).count() == source.count()
     assert ingest.hourly_volume(stream).isStreaming
+
+
+def test_enrichment_policy(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    folder = _folder(tmp_path / "in")
+    failed = lambda docs: docs.withColumn("enrichment_status", F.when(F.col("path").endswith("a.txt"), "failed").otherwise("ok"))
+    for policy, indexed in (("index_anyway", 4), ("fail", 3)):
+        status = pipeline.run(spark, folder, str(tmp_path / policy), enrich=failed, on_enrichment_failure=policy).collect()
+        assert sum(r["status"] == "INDEXED" for r in status) == indexed
+    assert any(r["error"] == "not enriched: failed" for r in status)
+    few = pipeline.run(spark, folder, str(tmp_path / "few"), prefix="/memos/", limit=2).collect()
+    assert len(few) == 2

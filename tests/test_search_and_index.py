@@ -94,3 +94,22 @@ def test_vector_top_of_many_queries(spark):
     for q in (0, 50, 200):
         want = sorted((-r["vector_score"], r["vec_id"]) for r in search.vector_scores(vectors, rows[q][1]).collect())[:5]
         assert [x[2] for x in sorted(got[q])] == [round(-s, 6) for s, _ in want]
+
+
+def test_contract_and_filters_of_a_question(spark):
+    from ledgerloom.functions import headers
+    from ledgerloom.operators import index, search
+    from ledgerloom.vocabulary import JURISDICTION_ALIASES, JURISDICTIONS
+
+    fields = index.schema()
+    assert len(fields) == 30 and fields["content_vector"].metadata["searchable"] and not fields["content"].metadata["filterable"]
+    search.assert_filterable("source_file")
+    for name in ("jurisdictions", "chunk_id", "sender"):
+        with pytest.raises(ValueError):
+            search.assert_filterable(name)
+    filters = search.filters_of({"entities": ["UnitA"], "topic": "Nexus", "jurisdictions": ["Ohio"]})
+    assert filters.entities == ("UnitA",) and filters.tax_topic == "Nexus" and filters.boost_jurisdictions == ("Ohio",)
+    rows = spark.createDataFrame([("the UK branch",), ("ohio",), ("n/a",), (None,), ("Bavaria",)], "v string")
+    assert [r[0] for r in rows.select(headers.coerce(rows["v"], JURISDICTIONS, aliases=JURISDICTION_ALIASES)).collect()] == ["United Kingdom", "Ohio", "n/a", "n/a", "n/a"]
+    empty = spark.createDataFrame([], "chunk_id string, content string, jurisdictions array<string>, semantic_state string, evidence_type string, search_score double")
+    assert search.search(empty, "payroll factor").count() == 0
