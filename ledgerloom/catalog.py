@@ -215,11 +215,19 @@ def e6_junk_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def e8_split_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The messages found in the text of every thread file, by their own headers."""
-    files = table(spark, sf_dir, "extracted").where("is_email_thread").select(F.col("path").alias("document_id"), "text", F.col("thread_subject").alias("subject"))
+    files = spread(table(spark, sf_dir, "extracted").where("is_email_thread").select(F.col("path").alias("document_id"), "text", F.col("thread_subject").alias("subject")))
     return threads.thread_messages(files).select("document_id", "message_index", "sender", "message_date", "subject", F.length("body").alias("chars"))
 
 
-@query()
+@query(
+    r"""
+    with h as (select path, list_transform(messages, lambda m: concat_ws(chr(10), '[Message ' || m.message_index::varchar || ']',
+        case when coalesce(m.sender, 'n/a') not in ('', 'n/a') then 'From: ' || m.sender end, case when array_to_string(coalesce(m.recipients, []), '; ') not in ('', 'n/a') then 'To: ' || array_to_string(m.recipients, '; ') end,
+        case when array_to_string(coalesce(m.cc, []), '; ') not in ('', 'n/a') then 'Cc: ' || array_to_string(m.cc, '; ') end, case when coalesce(m.message_date, 'n/a') not in ('', 'n/a') then 'Date: ' || m.message_date end,
+        case when coalesce(m.subject, 'n/a') not in ('', 'n/a') then 'Subject: ' || m.subject end, chr(10) || coalesce(m.body, ''))) as parts from extracted where is_email_thread)
+    select path, array_to_string(parts, chr(10) || chr(10) || '---' || chr(10) || chr(10)) as rendered from h
+    """
+)
 def e10_rendered_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every thread as one text."""
     return table(spark, sf_dir, "extracted").where("is_email_thread").select("path", threads.render_thread(F.col("messages")).alias("rendered"))
@@ -360,7 +368,13 @@ def q8b_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.top(scores, "vector_score", "vec_id", 10).select("vec_id", F.round("vector_score", 6).alias("score"))
 
 
-@query()
+@query(
+    """
+    with v as (select vec_id, embedding::double[] as e from embeddings),
+    s as (select q.vec_id as query_id, v.vec_id, list_dot_product(q.e, v.e) / (sqrt(list_dot_product(q.e, q.e)) * sqrt(list_dot_product(v.e, v.e))) as score from v join v q on q.vec_id % 50 = 0)
+    select query_id, vec_id, row_number() over (partition by query_id order by score desc, vec_id) as rank, round(score, 6) as score from s qualify rank <= 10
+    """
+)
 def q8c_vector_topk_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten vectors nearest to every vector whose id is divisible by 50, exactly."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -426,7 +440,13 @@ def q9_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("rank", "chunk_id", F.round("search_score", 6).alias("score"), "total")
 
 
-@query()
+@query(
+    _FILTERED
+    + """select row_number() over (order by round(s, 9) desc, chunk_id) as rank, chunk_id, round(s, 6) as score,
+    case when message_id is not null then source_file || ' (' || coalesce(sender, 'unknown sender') || ', ' || coalesce(strftime(sent_date, '%Y-%m-%d'), 'undated') || ')'
+         when page_number is not null then source_file || ', p. ' || page_number::varchar else source_file end as citation from (
+    select docs.*, fused * case when coalesce(list_has_any(jurisdictions, ['Ohio']), false) then 1.5::double else 1.0::double end as s from fused f join docs using (chunk_id)) order by rank limit 10"""
+)
 def q10_understood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A search by an understood question: its topic filters, its jurisdictions raise."""
     draft = {"internal_search_query": QUESTION, "topic": "Apportionment", "jurisdictions": ["Ohio"]}
@@ -673,7 +693,7 @@ def e13_pages_of_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     marker = F.regexp_extract("line", r"(?i)^\[?page (\d+)(?: of \d+)?\]?$", 1)
     pages = lines.where(marker != "").groupBy("path", "no").agg(F.max(marker.cast("int")).alias("page"))
     heads = lines.where(F.col("line").startswith("From: ")).select("path", "no")
-    return threads.asof_backward(heads, pages, ["path"], "no", ["page"])
+    return threads.asof_backward(heads, pages, ["path"], "no", ["page"], span=10_000)
 
 
 @query(r"select path, len(regexp_extract_all(substring(text, 1, 8000), '(?im)^(?:from|sent|to|subject):[^\S\n]*\S|^-{2,}[^\S\n]*original message')) >= 2 as looks_like_mail from extracted")

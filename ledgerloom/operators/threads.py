@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -31,6 +32,11 @@ _HEAD = re.compile(rf"(?i)^{_LEAD}({'|'.join(HEADER_LABELS)})[*_\s]*:[*_\s]*(.*?
 _WROTE = re.compile(rf"(?i)^{_LEAD}on\s+(.{{4,80}}?)\s*,\s*([^,<]{{2,60}}(?:,\s*[^,<]{{1,40}})?\s*<[^>]+>|[^,<]{{2,60}})\s*wrote\s*:\s*$")
 _PAGE = re.compile(r"(?i)^\s*(?:<!--\s*page\D*(\d+).*?-->|-{3,}\s*page\s*(\d+)\s*-{3,}|\[?page\s+(\d+)(?:\s+of\s+\d+)?\]?)\s*$")
 _RULE = re.compile(r"(?i)^[>*#|\s_]*(?:-{2,}\s*(?:original|forwarded)\s+message\s*-{2,}|_{5,})[*_\s|]*$")
+_MARK = re.compile(r"^\s*>+\s?")
+_BLANKS = re.compile(r"\n{3,}")
+_ADDRESS_ALONE = re.compile(r"^\s*<?[\w.+-]+@[\w.-]+>?\s*$")
+_REPLY = re.compile(r"(?i)^(\s*(re|fw|fwd|aw|antwort)\s*:\s*)+")
+_LABEL_ALONE = re.compile(rf"(?i)^(?:{'|'.join(HEADER_LABELS)})\s*:\s*$")
 #: A quotation line this near to a boundary belongs to it.
 NEAR = 40
 
@@ -48,7 +54,7 @@ def _recipients(value: str) -> list[str]:
                 parts.append(held)
                 held = ""
         parts += [held] if held else []
-    return [p for p in parts if p and not re.match(rf"(?i)^(?:{'|'.join(HEADER_LABELS)})\s*:\s*$", p)]
+    return [p for p in parts if p and not _LABEL_ALONE.match(p)]
 
 
 def split_messages(text: str | None, subject: str | None = None) -> list[dict]:
@@ -94,14 +100,14 @@ def split_messages(text: str | None, subject: str | None = None) -> list[dict]:
     spans = [{"line": 0, "body": 0, "from": "", "date": "", "to": "", "cc": "", "subject": ""}, *boundaries]
     out = []
     for b, end in zip(spans, [*(x["line"] for x in spans[1:]), len(lines)], strict=True):
-        kept = [re.sub(r"^\s*>+\s?", "", x) for x in lines[b["body"] : end] if not _PAGE.match(x) and not _RULE.match(x)]
-        body = re.sub(r"\n{3,}", "\n\n", "\n".join(kept)).strip()
+        kept = [_MARK.sub("", x) for x in lines[b["body"] : end] if not _PAGE.match(x) and not _RULE.match(x)]
+        body = _BLANKS.sub("\n\n", "\n".join(kept)).strip()
         sender = b["from"].strip(" *_|") or NA
-        if not body or (sender == NA and len(body) < 15) or re.match(r"^\s*<?[\w.+-]+@[\w.-]+>?\s*$", body):
+        if not body or (sender == NA and len(body) < 15) or _ADDRESS_ALONE.match(body):
             continue
         before = [n for at, n in pages if at <= b["line"]]
         page = before[-1] if before else pages[0][1] if pages else None
-        title = re.sub(r"(?i)^(\s*(re|fw|fwd|aw|antwort)\s*:\s*)+", "", (b["subject"] or subject or "")).strip() or NA
+        title = _REPLY.sub("", b["subject"] or subject or "").strip() or NA
         out.append({"sender": sender, "recipients": _recipients(b["to"]), "cc": _recipients(b["cc"]), "message_date": b["date"].strip() or NA, "subject": title, "body": body, "page_number": page})
     return [{"message_index": n, **m} for n, m in enumerate(reversed(out), 1)]
 
@@ -114,7 +120,10 @@ def split_thread(text: pd.Series, subject: pd.Series) -> pd.Series:
 
 def cleaned_messages(messages: DataFrame, key: str) -> DataFrame:
     """``messages(key, m)`` with clean bodies; those that cleaning empties or leaves as junk go, the others are numbered anew."""
-    clean = clean_message_body(messages.select(key, "m.*"), "body").where(F.col("body").isNotNull() & (F.col("body") != "") & ~is_junk(F.col("sender"), F.col("body")))
+    clean = clean_message_body(messages.select(key, "m.*"), "body")
+    # exploded, so that a body is cleaned once and not again for each condition on it
+    clean = clean.select(key, *(f.name for f in MESSAGE.fields if f.name != "body"), F.explode(F.array("body")).alias("body"))
+    clean = clean.where(F.col("body").isNotNull() & (F.col("body") != "") & ~is_junk(F.col("sender"), F.col("body")))
     number = F.row_number().over(Window.partitionBy(key).orderBy("message_index")).alias("message_index")
     return clean.select(key, number, *(f.name for f in MESSAGE.fields[1:]))
 
@@ -191,15 +200,30 @@ def message_header(sender: Column, recipients: Column, cc: Column, date: Column,
     return F.concat_ws("\n", line("Subject", subject), line("From", display_name(sender)), line("To", format_recipients(recipients)), line("Cc", format_recipients(cc)), line("Date", date))
 
 
-def asof_backward(left: DataFrame, right: DataFrame, by: list[str], at: str, values: list[str]) -> DataFrame:
+#: How many moments of the ordering column (seconds of a timestamp, units of a number) one task sorts for a key, by default.
+SPAN = 86_400
+
+
+def asof_backward(left: DataFrame, right: DataFrame, by: list[str], at: str, values: list[str], span: float = SPAN) -> DataFrame:
     """Each row of ``left`` with the ``values`` of the last row of ``right`` at or before it, within ``by``.
 
-    A union and one ordered window: rows of a hot key spill, none is joined with all others.
+    The rows of a key are ordered in stretches of ``span``, so that a hot key is the work of many
+    tasks; the last value of each stretch, an aggregate, is carried into those after it.  Of a column
+    the last value that is not NULL counts; rows with a NULL key or moment match nothing.
     """
-    keys = [*by, at]
-    one = left.withColumns({f"_{v}": F.lit(None).cast(right.schema[v].dataType) for v in values} | {"_side": F.lit(1)})
-    two = right.select(*keys, *(F.col(v).alias(f"_{v}") for v in values)).withColumn("_side", F.lit(0))
-    order = Window.partitionBy(*by).orderBy(at, "_side").rowsBetween(Window.unboundedPreceding, 0)
-    both = one.unionByName(two, allowMissingColumns=True)
-    filled = both.withColumns({v: F.last(f"_{v}", ignorenulls=True).over(order) for v in values})
-    return filled.where("_side = 1").drop("_side", *(f"_{v}" for v in values))
+    held = {v: f"_{v}" for v in values}
+    known = reduce(Column.__and__, (F.col(c).isNotNull() for c in (*by, at)))
+    one = left.withColumns({h: F.lit(None).cast(right.schema[v].dataType) for v, h in held.items()} | {"_side": F.lit(1)})
+    two = right.where(known).select(*by, at, *(F.col(v).alias(h) for v, h in held.items())).withColumn("_side", F.lit(0))
+    # days keep the order of local times, which have no seconds since an epoch
+    local = isinstance(left.schema[at].dataType, (T.DateType, T.TimestampNTZType))
+    moment = F.unix_date(F.col(at).cast("date")) * 86_400 if local else F.col(at).cast("double")
+    both = one.unionByName(two, allowMissingColumns=True).withColumn("_stretch", F.floor(moment / span))
+    stretch = [*by, "_stretch"]
+    ends = both.groupBy(*stretch).agg(*(F.max_by(F.struct(h), F.when(F.col(h).isNotNull(), F.col(at))).alias(h) for h in held.values()))
+    earlier = Window.partitionBy(*by).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*stretch, *(F.last(h, ignorenulls=True).over(earlier)[h].alias(f"_carried{h}") for h in held.values()))
+    so_far = Window.partitionBy(*stretch).orderBy(at, "_side").rowsBetween(Window.unboundedPreceding, 0)
+    filled = both.withColumns({v: F.last(h, ignorenulls=True).over(so_far) for v, h in held.items()}).where("_side = 1")
+    joined = filled.join(carried, stretch, "left")
+    return joined.withColumns({v: F.coalesce(v, f"_carried{h}") for v, h in held.items()}).select(*left.columns, *values)
