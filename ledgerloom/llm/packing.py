@@ -9,10 +9,10 @@ that is owed most opens the window with its largest item; the room is filled wit
 items that fit, of nearly equal ones that of the queue owed most; all are charged to their queues.
 
 The groups of a capacity are numbered, and the difference between what the sources of all groups
-before bring and their target is a group's opening deficit, from a window over per-group totals:
-so deficits carry over groups as they do over windows.  The target is the share of each source in
-all tokens unless ``targets`` gives another; as nothing may be dropped, a target steers the order
-in which sources meet, and the last windows hold what is left.
+before bring and their target is a group's opening deficit, from sums over blocks of groups: so
+deficits carry over groups as they do over windows.  The target is the share of each source in all
+tokens unless ``targets`` gives another; as nothing may be dropped, a target steers the order in
+which sources meet, and the last windows hold what is left.
 
 Defined results: NULL and empty texts have no tokens and are placed in the first container of
 their group; NULL sources count as one source; repeated rows of one key are packed once.
@@ -37,6 +37,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Tokens and containers that a packing group holds at most, about.
 GROUP_TOKENS, GROUP_CONTAINERS = 4_000_000, 1_000
+#: Groups whose deficits one task adds up.
+BLOCK = 1_000
 #: Kinds of containers, a table of settings.
 MAX_KINDS = 1_000
 #: Items of at least this share of the largest that fits may go before it, for the mixture.
@@ -126,6 +128,23 @@ def _pack_group(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     return group.assign(container_id=ids)[["window_name", "container_id", "doc_id", "piece_no", "start_token", "n_tokens", "source"]]
 
 
+def opening_deficits(sums: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``sums(window_name, number, source, target, tokens)`` to ``(window_name, number, source, opening)``.
+
+    The opening deficit of a group is what all groups before it lack of their target: sums over
+    blocks of groups, and within a block, so that no task walks through all groups of a source.
+    Decimals, so that a lost task computes the same sums in whatever order.
+    """
+    lacks = sums.select("window_name", "number", "source", (F.col("target") - F.col("tokens")).cast("decimal(28,6)").alias("lack"), F.floor(F.col("number") / block).alias("block"))
+    blocks = lacks.groupBy("window_name", "source", "block").agg(F.sum("lack").alias("lack"))
+    earlier = Window.partitionBy("window_name", "source").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    carried = blocks.select("window_name", "source", "block", F.sum("lack").over(earlier).alias("carried"))
+    within = Window.partitionBy("window_name", "source", "block").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
+    part = lacks.withColumn("part", F.sum("lack").over(within)).join(carried, ["window_name", "source", "block"])
+    value = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+    return part.select("window_name", "number", "source", (value("carried") + value("part")).alias("opening"))
+
+
 def packed(documents: DataFrame, windows: DataFrame, *, targets: DataFrame | None = None, vocabulary: str = VOCABULARY) -> DataFrame:
     """Every document in containers of every capacity of ``windows(window_name, capacity_tokens)``.
 
@@ -158,9 +177,7 @@ def packed(documents: DataFrame, windows: DataFrame, *, targets: DataFrame | Non
     rest = rest.withColumn("number", F.pmod(F.xxhash64("doc_id"), groups))
     sums = rest.groupBy("window_name", "number", "source", "share").agg(F.sum("n_tokens").alias("tokens"))
     sums = sums.withColumn("target", F.col("share") * F.sum("tokens").over(Window.partitionBy("window_name", "number")))
-    before = Window.partitionBy("window_name", "source").orderBy("number").rowsBetween(Window.unboundedPreceding, -1)
-    opening = sums.select("window_name", "number", "source", F.coalesce(F.sum(F.col("target") - F.col("tokens")).over(before), F.lit(0.0)).alias("opening"))
-    placed = rest.join(opening, ["window_name", "number", "source"]).groupBy("window_name", "number").applyInPandas(_pack_group, PLACED)
+    placed = rest.join(opening_deficits(sums), ["window_name", "number", "source"]).groupBy("window_name", "number").applyInPandas(_pack_group, PLACED)
     return placed.unionByName(whole.select(*placed.columns))
 
 

@@ -82,7 +82,18 @@ def p6_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private_data.redacted(*_private(spark, sf_dir))
 
 
-@query()
+_WORDS = r"regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}]+')"
+_RUNS = "array_to_string(w[k:k + 12], ' ') as run from (select {0}, w, unnest(range(1, len(w) - 11)) as k from {1})"
+
+
+@query(
+    f"""
+    with item as (select test_id, {_WORDS.format("t")} as w from (select test_id, unnest([question, passage]) as t from eval_cases where test_id is not null)),
+    document as (select doc_id, {_WORDS.format("text")} as w from documents where doc_id is not null),
+    i as (select distinct test_id, {_RUNS.format("test_id", "item")}), d as (select distinct doc_id, {_RUNS.format("doc_id", "document")})
+    select distinct doc_id, test_id from d join i using (run)
+    """
+)
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold 13 consecutive words of an evaluation item."""
     return leaks.leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_cases"))

@@ -266,6 +266,16 @@ def test_packed(spark):
     assert report["small"] > 0.85
 
 
+def test_opening_deficits_over_blocks(spark):
+    rng = random.Random(3)
+    rows = [(w, n, s, rng.random() * 1000, rng.randint(0, 1000)) for w in ("x", "y") for n in range(97) for s in ("a", "b", "") if rng.random() < 0.8]
+    sums = spark.createDataFrame(rows, "window_name string, number long, source string, target double, tokens long")
+    want = {(w, n, s): sum(t - k for v, m, r, t, k in rows if v == w and r == s and m < n) for w, n, s, _, _ in rows}
+    for block in (1, 10, 1_000):
+        got = {(r["window_name"], r["number"], r["source"]): r["opening"] for r in packing.opening_deficits(sums, block).collect()}
+        assert got == pytest.approx(want, abs=1e-3)
+
+
 # ---------------------------------------------------------------- 8
 
 
