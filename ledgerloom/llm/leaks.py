@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.session import spread
 
-from .words import hash_words, window_prints, words_of
+from .words import hash_words, shingle_hashes, window_prints, words_of
 
 WINDOW = 13
 RADIUS = 1
@@ -165,25 +165,61 @@ class _Near:
             at = np.repeat(np.arange(len(prints)), sizes)
             item = items[np.repeat(starts[block] - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())]
             near = np.bitwise_count(prints[at] ^ self.prints[item]) <= NEAR_RADIUS
-            found.append(np.stack([at[near], item[near]], axis=1))
-        return np.unique(np.concatenate(found), axis=0)
+            found.append(at[near] * len(self.prints) + item[near])
+        return np.stack(np.divmod(np.unique(np.concatenate(found)), len(self.prints)), axis=1)
 
 
 def _pairs(words: list[str]) -> Counter:
     return Counter(zip(*(words[k:] for k in range(PAIR)), strict=False))
 
 
+#: Candidates whose word pairs are compared at once: a byte for each pair of pairs.
+_AT_ONCE = 4_000
+
+
+class _Alike:
+    """Which windows can share enough word pairs with items; what cannot is refused by the similarity anyway."""
+
+    def __init__(self, texts: list[str], size: int) -> None:
+        self.length = size - PAIR + 1
+        self.needed = int(np.ceil(2 * self.length * NEAR_SIMILARITY / (1 + NEAR_SIMILARITY) - 1e-9))
+        self.of_items = np.array([shingle_hashes(hash_words(t.split(" ")), PAIR) for t in texts])
+        self.known = np.unique(self.of_items)
+
+    def begins(self, pairs: np.ndarray) -> np.ndarray:
+        """Where the windows begin of which so many pairs occur in items."""
+        place = np.minimum(np.searchsorted(self.known, pairs), len(self.known) - 1)
+        count = np.concatenate([[0], np.cumsum(self.known[place] == pairs)])
+        return np.flatnonzero(count[self.length :] - count[: -self.length] >= self.needed)
+
+    def __call__(self, pairs: np.ndarray, begins: np.ndarray, items: np.ndarray) -> np.ndarray:
+        """For each candidate, whether so many pairs of its window occur in its item, and of the item in the window."""
+        kept = np.zeros(len(begins), bool)
+        for k in range(0, len(begins), _AT_ONCE):
+            mine = pairs[begins[k : k + _AT_ONCE, None] + np.arange(self.length)]
+            same = mine[:, :, None] == self.of_items[items[k : k + _AT_ONCE]][:, None, :]
+            kept[k : k + _AT_ONCE] = np.minimum(same.any(axis=2).sum(axis=1), same.any(axis=1).sum(axis=1)) >= self.needed
+        return kept
+
+
 def _near_windows(shared: Broadcast, size: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         items, texts, prints = shared.value
-        index, bags = _Near(prints), [_pairs(t.split(" ")) for t in texts]
+        index, alike, bags = _Near(prints), _Alike(texts, size), [_pairs(t.split(" ")) for t in texts]
         for batch in batches:
             rows: dict[tuple[str, str], float] = {}
             for key, text in zip(batch["key"], batch["text"], strict=True):
                 words = words_of(text)
                 for begin in range(0, max(len(words) - size + 1, 0), SLAB):
                     part = words[begin : begin + SLAB + size - 1]
-                    for at, item in index(window_prints(hash_words(part), size)):
+                    hashes = hash_words(part)
+                    pairs = shingle_hashes(hashes, PAIR)
+                    if not len(starts := alike.begins(pairs)):
+                        continue
+                    near = index(window_prints(hashes, size)[starts])
+                    where, which = starts[near[:, 0]], near[:, 1]
+                    hit = alike(pairs, where, which)
+                    for at, item in zip(where[hit], which[hit], strict=True):
                         mine = _pairs(part[at : at + size])
                         both = (mine & bags[item]).total()
                         similarity = both / (mine.total() + bags[item].total() - both)
