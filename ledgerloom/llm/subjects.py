@@ -6,31 +6,34 @@ over the document-similarity graph, whose own edges would be quadratic in the do
 subject.  Terms are verified before they carry anything: those that documents of any subject use
 alike are no edges.
 
-1. Terms are learnt on a bounded sample: at most ``MAX_LABELLED`` rated documents and ``MAX_REACHED``
-   others.  A term belongs to a subject if the documents rated so have it beyond chance (a likelihood
-   ratio of ``EVIDENCE``) and clearly more than those of any other.  In ``LEARNING`` further rounds the
-   terms label the documents that they reach, rated ones by their ratings only, and these teach
-   further terms, with the documents that nothing reaches as evidence against; each round counts in
-   tasks, the sums meet in Spark.
+1. Terms are learnt from all documents.  A term belongs to a subject if the documents rated so have it
+   beyond chance (a likelihood ratio of ``EVIDENCE``) and clearly more than those of any other.  In
+   ``LEARNING`` further rounds the terms label the documents that they reach, rated ones by their
+   ratings only, and these teach further terms, with the documents that nothing reaches as evidence
+   against; each round counts every document in tasks, a task sends a row for each term and subject it
+   has met, the sums meet in Spark.
 2. One scan of all documents finds every occurrence of every term learnt, a list for each
    document; these lists are the edges of the graph.
 3. Labels go from documents to terms and back in ``ROUNDS`` rounds over all documents: a task has
    the edges of its documents and adds up its terms, the sums are merged in Spark.  Rated documents
    are clamped to their ratings each time, all of them, and a document keeps every subject above
-   ``KEEP``.  The subject of each term goes to the tasks; it is bounded by the sample.
+   ``KEEP``.  The subject of each term goes to the tasks; the terms learnt are a vocabulary,
+   which grows far slower than the documents.
 4. A sentence deals with the subjects of its terms; the labels that the last step brings back to a
    document are the subjects that a fifth of its sentences deal with.  Trusted seeds stay: a rating
    that its document's terms bear out at all (``KEEP``) is given whatever its share, and a document
    rated ``none`` gets no subject below ``DOUBT``.  Raters err, so other ratings give way.
 
 Defined results: NULL or empty texts have no subject; unlabelled corpora give no rows; ratings of
-unknown documents and ratings ``none`` carry no subject; repeated ratings count once per rater.
+unknown documents and ratings ``none`` carry no subject; repeated ratings count once per rater, and a
+document that is stored several times with one text counts once.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -39,9 +42,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.session import cut_lineage, spread, written
 
-from .words import WORD, hash_words, in_slabs, mix
+from .words import hash_words, in_slabs, mix
 
-MAX_LABELLED, MAX_REACHED = 20_000, 4_000
 LEARNING, ROUNDS = 2, 2
 #: A term is learnt from so many documents of its subject at least: rated ones, and reached ones.
 MIN_DOCUMENTS, MIN_REACHED = 2, 5
@@ -53,54 +55,160 @@ KEEP, SHARE, DOUBT = 0.12, 0.2, 0.35
 MIN_WORDS = 4
 #: Documents scanned at once in a task.
 SLAB = 300
+#: Rows of counts that a task adds up before it sends them, and sends at once.
+HELD, SENT = 1_500_000, 50_000
+#: Ratings of so many documents are broadcast; beyond that Spark joins them as it sees fit.
+MAX_BROADCAST = 500_000
+#: Only for ``sampled``, which nothing here uses.
+MAX_LABELLED = 20_000
 
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
-TERMS = "doc_id bigint, sentences int, at array<int>, terms array<int>"
+#: Ends a sentence among the words.
+_END = "\x01"
+_WORD_OR_END = re.compile(r"[^\W_]+|\x01")
+#: ASCII characters as letters and digits, sentence marks (.), line ends, blanks and others (-).
+_ASCII = {k: x if x.isalnum() else "." if x in ".!?" else x if x == "\n" else " " if x.isspace() else "-" for k in range(128) for x in [chr(k)]}
+WORDS = "doc_id bigint, rated array<string>, words array<bigint>, sizes array<int>"
+TERMS = "doc_id bigint, rated array<string>, sentences int, at array<int>, terms array<int>"
 COUNTS = "term bigint, subject int, docs bigint, n bigint"
 LABELS = "doc_id bigint, subject string, share double"
 SUMS = "term int, subject int, n bigint"
 
 
-def _terms(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words and phrases of a batch: their hashes, rows and sentences; and the number of sentences of each row."""
+def _words(text: str) -> list[str]:
+    """The words of a text, with ``_END`` after each sentence."""
+    text = text.lower()
+    if text.isascii():  # the same without a regular expression
+        return (text.translate(_ASCII).replace(". ", f" {_END} ").replace("\n", f" {_END} ").replace("-", " ").replace(".", " ") + f" {_END}").split()
+    return _WORD_OR_END.findall(_SENTENCE.sub(_END, text.replace(_END, " "))) + [_END]
+
+
+class Found(NamedTuple):
+    """The words and phrases of a batch, each once in a sentence, ordered by term and sentence."""
+
+    terms: np.ndarray  # the hash of each different one
+    which: np.ndarray  # the place among them of each occurrence
+    sentence: np.ndarray  # its sentence, counted through the batch
+    rows: np.ndarray  # the row of each sentence
+    counts: np.ndarray  # the number of sentences of each row
+
+
+def _sentences(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes of the words in all sentences of a batch, and the number of words and the row of each sentence; from its texts, or as ``_read`` has kept them."""
+    if "words" in batch:
+        return _flat(batch["words"])[0].view(np.uint64), *_flat(batch["sizes"])
     words: list[str] = []
-    rows: list[int] = []
-    numbers: list[int] = []
-    sizes: list[int] = []
-    counts = np.zeros(len(batch), np.int32)
+    ends = np.zeros(len(batch), np.int64)
     for row, text in enumerate(batch["text"]):
-        if not text:
-            continue
-        for sentence in _SENTENCE.split(text.lower()):
-            found = WORD.findall(sentence)
-            if len(found) >= MIN_WORDS:
-                words += found
-                rows.append(row)
-                numbers.append(counts[row])
-                sizes.append(len(found))
-                counts[row] += 1
+        if text:
+            words += _words(text)
+        ends[row] = len(words)
     hashes = hash_words(words)
+    end = np.flatnonzero(hashes == hash_words([_END]))
+    sizes = np.diff(end, prepend=-1) - 1
+    long = sizes >= MIN_WORDS
+    taken = np.repeat(long, sizes + 1)
+    taken[end] = False
+    return hashes[taken], sizes[long], np.searchsorted(ends, end[long], side="right")
+
+
+def _split(values: np.ndarray, rows: np.ndarray, n: int) -> list[np.ndarray]:
+    """The values of each of ``n`` rows; ``rows`` has the row of each value, in order."""
+    bounds = np.searchsorted(rows, np.arange(n + 1))
+    return [values[bounds[k] : bounds[k + 1]] for k in range(n)]
+
+
+def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The words of each text, for several scans."""
+    for batch in in_slabs(batches, SLAB):
+        hashes, sizes, rows = _sentences(batch)
+        words = _split(hashes.view(np.int64), np.repeat(rows, sizes), len(batch))
+        yield batch.drop(columns="text").assign(words=words, sizes=_split(sizes.astype(np.int32), rows, len(batch)))
+
+
+def _found(batch: pd.DataFrame) -> Found:
+    hashes, sizes, rows = _sentences(batch)
     of = np.repeat(np.arange(len(sizes)), sizes)
-    pairs = mix(hashes[:-1] * np.uint64(3) + hashes[1:])
-    inside = of[:-1] == of[1:]
-    every = np.concatenate([hashes, pairs[inside]]).view(np.int64)
-    which = np.concatenate([of, of[:-1][inside]])
-    return every, np.array(rows, np.int64)[which], np.array(numbers, np.int64)[which], counts
+    code, different = pd.factorize(hashes)
+    m, inside = max(len(different), 1), of[:-1] == of[1:]
+    every = np.concatenate([code, (code[:-1] * m + code[1:] + m)[inside]]).astype(np.int64)
+    kinds, bits = None, len(sizes).bit_length()
+    if (m * m + m).bit_length() + bits > 63:
+        every, kinds = pd.factorize(every)
+    key = (every << bits) | np.concatenate([of, of[:-1][inside]])
+    key.sort()
+    key = key[np.diff(key, prepend=-1) > 0]
+    term = key >> bits
+    first = np.diff(term, prepend=-1) > 0
+    kind = term[first] if kinds is None else kinds[term[first]]
+    left, right = np.divmod(np.maximum(kind - m, 0), m)
+    terms = np.where(kind < m, different[np.minimum(kind, m - 1)], mix(different[left] * np.uint64(3) + different[right])).view(np.int64)
+    return Found(terms, np.cumsum(first) - 1, key & ((1 << bits) - 1), rows, np.bincount(rows, minlength=len(batch)))
+
+
+def _places(known: np.ndarray, terms: np.ndarray) -> np.ndarray:
+    """The place of each term among the known ones, which are sorted, else -1."""
+    if not len(known):
+        return np.full(len(terms), -1)
+    place = np.minimum(np.searchsorted(known, terms), len(known) - 1)
+    return np.where(known[place] == terms, place, -1)
 
 
-def _counted(batch: pd.DataFrame, terms: np.ndarray, rows: np.ndarray, sentences: np.ndarray, labels: np.ndarray) -> pd.DataFrame:
+def _counted(found: Found, labels: np.ndarray, new: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
     """How many documents and sentences have each term, by the documents' subjects and (as subject -1) at all; term 0 counts the documents themselves.
 
-    ``labels`` has a row for each document and a column for each subject.
+    ``labels`` has a row for each document and a column for each subject; only terms that are ``new`` count, where given.
     """
-    found = pd.DataFrame({"row": rows, "term": terms, "sentence": sentences}).drop_duplicates().groupby(["row", "term"]).size().reset_index(name="n")
-    none = pd.DataFrame({"row": np.arange(len(batch)), "term": 0, "n": 1})
-    found = pd.concat([found, none], ignore_index=True)
-    parts = []
-    for k in range(-1, labels.shape[1]):
-        part = found if k < 0 else found[labels[found["row"].to_numpy(), k]]
-        parts.append(part.groupby("term")["n"].agg(docs="count", n="sum").reset_index().assign(subject=k))
-    return pd.concat(parts)[["term", "subject", "docs", "n"]]
+    names = labels.shape[1]
+    row = found.rows[found.sentence]
+    begin = np.flatnonzero((np.diff(found.which, prepend=-1) > 0) | (np.diff(row, prepend=-1) != 0))
+    n = np.diff(begin, append=len(row))
+    if new is not None:
+        n, begin = n[new[found.which[begin]]], begin[new[found.which[begin]]]
+    which = found.which[begin]
+    labelled, subject = np.nonzero(labels)
+    size = np.bincount(labelled, minlength=len(labels))
+    many = size[row[begin]]
+    pair = np.repeat(np.arange(len(begin)), many)  # a document's term goes to each subject of the document
+    nth = np.arange(len(pair)) - np.repeat(np.cumsum(many) - many, many)
+    cell = which[pair] * names + subject[(np.cumsum(size) - size)[row[begin]][pair] + nth]
+    sums = lambda at, n, size: (np.bincount(at, minlength=size), np.bincount(at, n, minlength=size).astype(np.int64))
+    (docs, total), (own_docs, own) = sums(which, n, len(found.terms)), sums(cell, n[pair], len(found.terms) * names)
+    any_, of = np.flatnonzero(docs), np.flatnonzero(own_docs)
+    base = np.array([len(labels), *labels.sum(axis=0)], np.int64)
+    return (
+        np.concatenate([found.terms[any_], found.terms[of // max(names, 1)], np.zeros(len(base), np.int64)]),
+        np.concatenate([np.full(len(any_), -1), of % max(names, 1), np.arange(-1, names)]).astype(np.int32),
+        np.concatenate([docs[any_], own_docs[of], base]).astype(np.int32),
+        np.concatenate([total[any_], own[of], base]).astype(np.int32),
+    )
+
+
+def _added(parts: Iterator[tuple[np.ndarray, ...]]) -> Iterator[pd.DataFrame]:
+    """The counts of a task, added up while they are few enough to hold."""
+    held: list[tuple[np.ndarray, ...]] = []
+
+    def added() -> tuple[np.ndarray, ...]:
+        term, subject, docs, n = map(np.concatenate, zip(*held, strict=True))
+        held.clear()
+        key = pd.factorize(term)[0].astype(np.int64) * (int(subject.max()) + 2) + subject + 1
+        order = np.argsort(key)
+        begin = np.flatnonzero(np.diff(key[order], prepend=-1))
+        one = order[begin]
+        return term[one], subject[one], np.add.reduceat(docs[order], begin), np.add.reduceat(n[order], begin)
+
+    def sent(counts: tuple[np.ndarray, ...]) -> Iterator[pd.DataFrame]:
+        for k in range(0, len(counts[0]), SENT):
+            yield pd.DataFrame(dict(zip(("term", "subject", "docs", "n"), (x[k : k + SENT] for x in counts), strict=True)))
+
+    for part in parts:
+        held.append(part)
+        if sum(len(x[0]) for x in held) > HELD:
+            held.append(added())
+            if len(held[0][0]) > HELD // 2:
+                yield from sent(held.pop())
+    if held:
+        yield from sent(added())
 
 
 def _ratings(rated: pd.Series, names: list[str]) -> np.ndarray:
@@ -118,9 +226,7 @@ def _rated_counts(names: list[str]):
     """Counts over rated documents."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in in_slabs(batches, SLAB):
-            terms, rows, sentences, _ = _terms(batch)
-            yield _counted(batch, terms, rows, sentences, _ratings(batch["rated"], names))
+        yield from _added(_counted(_found(batch), _ratings(batch["rated"], names)) for batch in in_slabs(batches, SLAB))
 
     return run
 
@@ -128,37 +234,34 @@ def _rated_counts(names: list[str]):
 def _reached_counts(known: np.ndarray, subject: np.ndarray, names: list[str]):
     """Counts over documents whose sentences the known terms reach; documents that none reaches count against every subject."""
 
+    def counted(batch: pd.DataFrame) -> tuple[np.ndarray, ...]:
+        found = _found(batch)
+        place = _places(known, found.terms)
+        hit = place[found.which] >= 0
+        said = np.unique(found.sentence[hit] * len(names) + subject[place[found.which[hit]]])
+        cell = found.rows[said // len(names)] * len(names) + said % len(names)
+        share = np.bincount(cell, minlength=len(batch) * len(names)).reshape(len(batch), -1) / np.maximum(found.counts, 1)[:, None]
+        return _counted(found, (share >= SHARE - 1e-9) & _ratings(batch["rated"], names), place < 0)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in in_slabs(batches, SLAB):
-            terms, rows, sentences, counts = _terms(batch)
-            place = np.minimum(np.searchsorted(known, terms), len(known) - 1)
-            hit = known[place] == terms
-            said = np.unique((rows[hit] * (counts.max(initial=0) + 1) + sentences[hit]) * len(names) + subject[place[hit]])
-            row, of = said // len(names) // (counts.max(initial=0) + 1), said % len(names)
-            share = np.bincount(row * len(names) + of, minlength=len(batch) * len(names)).reshape(len(batch), -1) / np.maximum(counts, 1)[:, None]
-            labels = (share >= SHARE - 1e-9) & _ratings(batch["rated"], names)
-            yield _counted(batch, terms[~hit], rows[~hit], sentences[~hit], labels)
+        yield from _added(map(counted, in_slabs(batches, SLAB)))
 
     return run
 
 
 def _occurrences(known: np.ndarray):
-    """Every candidate term of each sentence, once."""
+    """Every known term of each sentence, once."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in in_slabs(batches, SLAB):
-            terms, rows, sentences, counts = _terms(batch)
-            place = np.minimum(np.searchsorted(known, terms), max(len(known) - 1, 0))
-            hit = np.flatnonzero(known[place] == terms) if len(known) else np.zeros(0, np.int64)
-            place, rows, sentences = place[hit], rows[hit], sentences[hit]
-            order = np.lexsort((place, sentences, rows))
-            keys = np.stack([rows, sentences, place])[:, order]
-            first = np.ones(len(order), bool)
-            first[1:] = (keys[:, 1:] != keys[:, :-1]).any(axis=0)
-            rows, sentences, place = keys[0, first], keys[1, first].astype(np.int32), keys[2, first].astype(np.int32)
-            bounds = np.searchsorted(rows, np.arange(len(batch) + 1))
-            split = lambda x: [x[bounds[k] : bounds[k + 1]] for k in range(len(batch))]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "sentences": counts, "at": split(sentences), "terms": split(place)})
+            found = _found(batch)
+            place = _places(known, found.terms)[found.which]
+            key = np.sort(found.sentence[place >= 0] * max(len(known), 1) + place[place >= 0])
+            sentence, place = key // max(len(known), 1), (key % max(len(known), 1)).astype(np.int32)
+            row = found.rows[sentence]
+            number = (sentence - (np.cumsum(found.counts) - found.counts)[row]).astype(np.int32)
+            kept = batch[[x for x in ("doc_id", "rated") if x in batch]]
+            yield kept.assign(sentences=found.counts.astype(np.int32), at=_split(number, row, len(batch)), terms=_split(place, row, len(batch)))
 
     return run
 
@@ -195,7 +298,7 @@ def _clamped(subject: np.ndarray, names: list[str]):
                     least[k] = least[k] if len(rated) else DOUBT
                     least[k, [code[x] for x in rated]] = KEEP
             row, which = np.nonzero(share >= least)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[row], "subject": [names[k] for k in which], "share": share[row, which]})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[row], "subject": np.array(names, object)[which], "share": share[row, which]})
 
     return run
 
@@ -240,52 +343,66 @@ def seeds(labels: DataFrame) -> DataFrame:
 
 
 def sampled(rated_docs: DataFrame) -> DataFrame:
-    """At most ``MAX_LABELLED`` rated documents, by a hash."""
+    """At most ``MAX_LABELLED`` rated documents, by a hash; ``document_subjects`` learns from all and does not use it."""
     return rated_docs.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
 
 
-def others(texts: DataFrame, rated_docs: DataFrame) -> DataFrame:
-    """At most ``MAX_REACHED`` documents without a rating, by a hash."""
-    return texts.select("doc_id").distinct().join(rated_docs, "doc_id", "left_anti").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_REACHED)
-
-
 def learnt_terms(sums: DataFrame, least: int, purity: float, margin: float) -> DataFrame:
-    """``(term, subject)``: the one subject that each term clearly belongs to, by ``sums(term, subject, n)``."""
-    merged = cut_lineage(sums.groupBy("term", "subject").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")))
-    base = {r["subject"]: r["docs"] for r in merged.where("term = 0").collect()}  # a row for each subject
+    """``(term, subject)``: the one subject that each term clearly belongs to, by ``sums(term, subject, docs, n)``."""
+    cells = sums.repartition("term").groupBy("term", "subject").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    own = F.col("subject") >= 0
+    by_term = cells.groupBy("term").agg(
+        F.max(F.when(own, F.struct("n", "docs", "subject"))).alias("best"),
+        F.sort_array(F.collect_list(F.when(own, F.col("n"))), asc=False).alias("ranked"),
+        F.max(F.when(~own, F.col("docs"))).alias("all_docs"),
+        F.max(F.when(~own, F.col("n"))).alias("total"),
+        F.collect_list(F.when(F.col("term") == 0, F.struct("subject", "docs"))).alias("base"),
+    )
+    kept = cut_lineage(by_term.where((F.col("best.docs") >= least) | (F.col("term") == 0)))
+    base = {x["subject"]: x["docs"] for r in kept.where("term = 0").select("base").collect() for x in r["base"]}  # one for each subject
     size = F.lit(float(max(base.get(-1, 0), 1)))
     chance = F.element_at(F.create_map(*(F.lit(x) for k, n in (base or {-1: 0}).items() for x in (k, float(n)))), F.col("subject")) / size
-    of_subject = merged.where("term <> 0 and subject >= 0").groupBy("term").agg(F.max(F.struct("n", "docs", "subject")).alias("best"), F.sort_array(F.collect_list("n"), asc=False).alias("ranked"))
-    total = merged.where("subject = -1").select("term", F.col("docs").alias("all_docs"), F.col("n").alias("total"))
-    found = of_subject.where(F.col("best.docs") >= least).join(total, "term").select("term", "best.*", F.coalesce(F.get("ranked", F.lit(1)), F.lit(0)).alias("second"), "all_docs", "total").withColumn("chance", chance)
+    found = kept.where("term <> 0").select("term", "best.*", F.coalesce(F.get("ranked", F.lit(1)), F.lit(0)).alias("second"), "all_docs", "total").withColumn("chance", chance)
     share, rest = F.col("docs") / F.col("all_docs"), F.col("all_docs") - F.col("docs")
     ratio = F.col("docs") * F.log(share / F.col("chance")) + F.when(rest > 0, rest * F.log((1 - share) / (1 - F.col("chance")))).otherwise(0.0)
     clear = (F.col("n") >= purity * F.col("total")) & (F.col("n") >= margin * F.col("second"))
     return found.where(clear & (share > F.col("chance")) & (ratio >= EVIDENCE)).select("term", "subject")
 
 
+def _once(texts: DataFrame) -> DataFrame:
+    """``texts`` without rows that are stored again; only documents that have several rows are compared."""
+    again = cut_lineage(texts.groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if again.isEmpty():
+        return texts
+    return written(texts.join(again, "doc_id", "left_anti").unionByName(texts.join(again, "doc_id", "left_semi").distinct()))
+
+
+def _rated_words(texts: DataFrame, clamps: DataFrame) -> DataFrame:
+    """The words of each text and its ratings (NULL where there is none), written for several scans."""
+    few = clamps.count() <= MAX_BROADCAST
+    return written(spread(texts).join(F.broadcast(clamps) if few else clamps, "doc_id", "left").mapInPandas(_read, WORDS))
+
+
 def document_subjects(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """``(doc_id, subject, share)`` of the subjects that at least ``SHARE`` of a document's sentences deal with."""
-    texts = documents.select("doc_id", "text").where("doc_id is not null and text is not null")
     rated = cut_lineage(seeds(labels))
     names = sorted(r["subject"] for r in rated.select("subject").distinct().collect())
     none = labels.where("subject = 'none'").select("doc_id")
     rated_docs = labels.where("doc_id is not null").select("doc_id").distinct().join(rated.select("doc_id").unionByName(none).distinct(), "doc_id", "left_semi")
-    clamps = rated_docs.join(rated, "doc_id", "left").groupBy("doc_id").agg(F.collect_set("subject").alias("rated"))
-    picked = sampled(rated_docs).unionByName(others(texts, rated_docs))
-    sample = spread(cut_lineage(texts.join(picked, "doc_id", "left_semi").dropDuplicates(["doc_id"]).join(clamps, "doc_id", "left")))
-    # what is collected is bounded by the sample; terms are known by their place from here on
-    learnt = learnt_terms(sample.where("rated is not null").mapInPandas(_rated_counts(names), COUNTS), MIN_DOCUMENTS, PURITY, MARGIN).toPandas()
+    clamps = cut_lineage(rated_docs.join(rated, "doc_id", "left").groupBy("doc_id").agg(F.collect_set("subject").alias("rated")))
+    words = _rated_words(_once(documents.select("doc_id", "text").where("doc_id is not null")).where("text is not null"), clamps)
+    # terms are known by their place from here on
+    learnt = learnt_terms(words.where("rated is not null").mapInPandas(_rated_counts(names), COUNTS), MIN_DOCUMENTS, PURITY, MARGIN).toPandas()
     for _ in range(LEARNING):
         learnt = learnt.sort_values("term", ignore_index=True)
         if len(learnt):
-            reached = sample.mapInPandas(_reached_counts(learnt["term"].to_numpy(np.int64), learnt["subject"].to_numpy(np.int64), names), COUNTS)
+            reached = words.mapInPandas(_reached_counts(learnt["term"].to_numpy(np.int64), learnt["subject"].to_numpy(np.int64), names), COUNTS)
             learnt = pd.concat([learnt, learnt_terms(reached, MIN_REACHED, REACHED, MARGIN).toPandas()])
     learnt = learnt.sort_values("term", ignore_index=True)
     known, subject = learnt["term"].to_numpy(np.int64), learnt["subject"].to_numpy(np.int64)
     if not len(known):
         return rated.select("doc_id", "subject", F.lit(1.0).alias("share")).where(F.lit(False))
-    found = written(spread(texts).mapInPandas(_occurrences(known), TERMS).join(clamps, "doc_id", "left"))
+    found = written(words.mapInPandas(_occurrences(known), TERMS))
     for _ in range(ROUNDS):
         sums = found.select("sentences", "at", "terms", "rated").mapInPandas(_term_sums(subject, names), SUMS).groupBy("term", "subject").agg(F.sum("n").alias("n"))
         subject = _next_subjects(sums.toPandas(), len(known), len(names))

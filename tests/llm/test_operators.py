@@ -1,4 +1,6 @@
+import itertools
 import random
+import re
 from collections import Counter
 
 import numpy as np
@@ -364,6 +366,47 @@ def test_all_ratings_are_seeds(spark, monkeypatch):
     assert len(few) == 20 and 4 <= sum(k % 2 for k in few) <= 16
 
 
+def test_terms_are_learnt_from_all_documents(spark):
+    ids = [r[0] for r in spark.range(4320).orderBy(F.xxhash64("id"), "id").collect()]
+    office = ["the binder was moved to another room today", "coffee is served from nine in the hall", "comments on the draft are due soon enough"]
+    labels = [(k, s, "r1") for n, s in enumerate(["alpha"] * 15 + ["beta"] * 15) for k in [ids[n]]]
+    docs = [(k, f"we looked at {s}duty in the file. {office[0]}. the {s}duty was raised again") for k, s, _ in labels]
+    docs += [(k, ". ".join(office)) for k in ids[30:4300]]
+    # the last ones by their hash: documents that the rated word reaches teach another, which the last of all have alone
+    docs += [(k, f"we looked at alphaduty in the file. {office[1]}. a zetacharge was due then") for k in ids[4300:4310]]
+    docs += [(k, f"{office[2]}. no zetacharge was due then") for k in ids[4310:]]
+    got = {(r["doc_id"], r["subject"]) for r in subjects.document_subjects(spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(labels, "doc_id bigint, subject string, labelled_by string")).collect()}
+    assert got == {(k, s) for k, s, _ in labels} | {(k, "alpha") for k in ids[4300:]}
+
+
+def test_terms_are_counted_as_written_out(monkeypatch):
+    words = ["nexus", "tax", "Größe", "a_b", "x1"]
+    ends = [" ", " ", ". ", "? ", "\n", "!\x1d", "-", ".", ".) ", "\x01"]
+    rng = random.Random(11)
+    texts = ["".join(rng.choice(words) + rng.choice(ends) for _ in range(60)) for _ in range(9)]
+    texts = texts[:4] + [x.replace("Größe", "Size") for x in texts[4:]] + [None, ""]
+    labels = np.array([[rng.random() < 0.5 for _ in range(2)] for _ in texts])
+    want = {}
+    for row, text in enumerate(texts):
+        sentences = [x for x in (words_of(x) for x in re.split(r"(?<=[.!?])\s+|\n+", text or "")) if len(x) >= subjects.MIN_WORDS]
+        seen = [{(w,) for w in x} | set(itertools.pairwise(x)) for x in sentences]
+        for term in set().union(*seen) | {()}:
+            for k in [-1, *np.flatnonzero(labels[row])]:
+                docs, n = want.get((term, k), (0, 0))
+                want[term, k] = (docs + 1, n + (sum(term in x for x in seen) if term else 1))
+
+    def key(term):
+        h = hash_words(list(term))
+        return 0 if not term else int((h if len(term) == 1 else subjects.mix(h[:1] * np.uint64(3) + h[1:])).view(np.int64)[0])
+
+    parts = [subjects._counted(subjects._found(pd.DataFrame({"text": texts[a:b]})), labels[a:b]) for a, b in ((0, 5), (5, 11))]
+    got = {(r.term, r.subject): (r.docs, r.n) for r in pd.concat(subjects._added(iter(parts))).itertuples()}
+    assert {k: v for k, v in got.items() if v != (0, 0)} == {(key(t), k): v for (t, k), v in want.items()}
+    monkeypatch.setattr(subjects, "HELD", 10)  # what a task can't hold is sent in parts with the same sums
+    few = pd.concat(subjects._added(iter(parts))).groupby(["term", "subject"])[["docs", "n"]].sum()
+    assert {k: tuple(v) for k, v in few.iterrows()} == got
+
+
 # ---------------------------------------------------------------- queries
 
 
