@@ -37,12 +37,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.session import cut_lineage, spread, written
 
-from .words import hash_words, in_slabs, mix
+from .words import hash_words, mix
 
 LEARNING, ROUNDS = 2, 2
 #: A term is learnt from so many documents of its subject at least: rated ones, and reached ones.
@@ -53,8 +54,8 @@ EVIDENCE = 4.5
 PURITY, REACHED, MARGIN = 0.45, 0.5, 1.8
 KEEP, SHARE, DOUBT = 0.12, 0.2, 0.35
 MIN_WORDS = 4
-#: Documents scanned at once in a task.
-SLAB = 300
+#: Bytes of documents scanned at once in a task, where each document counts as so many at least.
+SLAB, LEAST = 2_500_000, 1_000
 #: Rows of counts that a task adds up before it sends them, and sends at once.
 HELD, SENT = 1_500_000, 50_000
 #: Ratings of so many documents are broadcast; beyond that Spark joins them as it sees fit.
@@ -62,27 +63,24 @@ MAX_BROADCAST = 500_000
 #: Only for ``sampled``, which nothing here uses.
 MAX_LABELLED = 20_000
 
-_SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
-#: Ends a sentence among the words.
-_END = "\x01"
-_WORD_OR_END = re.compile(r"[^\W_]+|\x01")
-#: ASCII characters as letters and digits, sentence marks (.), line ends, blanks and others (-).
-_ASCII = {k: x if x.isalnum() else "." if x in ".!?" else x if x == "\n" else " " if x.isspace() else "-" for k in range(128) for x in [chr(k)]}
-WORDS = "doc_id bigint, rated array<string>, words array<bigint>, sizes array<int>"
-TERMS = "doc_id bigint, rated array<string>, sentences int, at array<int>, terms array<int>"
+#: Bits of the table that terms are looked up in first, at most.
+MAX_BITS = 24
+
+LETTER, MARK, BLANK, LINE_END, OTHER = range(5)
+#: What each byte of a text is; those of letters and digits beyond ASCII are letters, what else is beyond it gives way to a blank or a dash.
+_KINDS = bytes(LETTER if k > 127 or chr(k).isalnum() else MARK if chr(k) in ".!?" else LINE_END if k == 10 else BLANK if chr(k).isspace() else OTHER for k in range(256))
+_NO_LETTER = re.compile(r"[^\x00-\x7f\w]")
+#: Bytes of a word that are compared eight at a time; longer ones are hashed as they are.
+LONG_WORD = 256
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+#: The lists of a document are the bytes of its numbers: one value for Spark to move, not one for each word.
+WORDS = "doc_id bigint, rated array<string>, words binary, sizes binary"
+TERMS = "doc_id bigint, rated array<string>, sentences int, at binary, terms binary"
 COUNTS = "term bigint, subject int, docs bigint, n bigint"
 LABELS = "doc_id bigint, subject string, share double"
 SUMS = "term int, subject int, n bigint"
 
 
-def _words(text: str) -> list[str]:
-    """The words of a text, with ``_END`` after each sentence."""
-    text = text.lower()
-    if text.isascii():  # the same without a regular expression
-        return (text.translate(_ASCII).replace(". ", f" {_END} ").replace("\n", f" {_END} ").replace("-", " ").replace(".", " ") + f" {_END}").split()
-    return _WORD_OR_END.findall(_SENTENCE.sub(_END, text.replace(_END, " "))) + [_END]
-
-
 class Found(NamedTuple):
     """The words and phrases of a batch, each once in a sentence, ordered by term and sentence."""
 
@@ -93,23 +91,60 @@ class Found(NamedTuple):
     counts: np.ndarray  # the number of sentences of each row
 
 
+def _slabs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The batches in pieces of ``SLAB`` bytes; a longer document is a piece of its own or the last of one."""
+    for batch in batches:
+        lists = batch[next(x for x in ("text", "words", "terms") if x in batch)]
+        size = np.fromiter((len(x) + LEAST if x else LEAST for x in lists), np.int64, len(batch))
+        bounds = [0, *np.flatnonzero(np.diff((np.cumsum(size) - size) // SLAB)) + 1, len(batch)]
+        for begin, end in zip(bounds[:-1], bounds[1:], strict=True):
+            if end > begin:
+                yield batch.iloc[begin:end].reset_index(drop=True)
+
+
 def _sentences(batch: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The hashes of the words in all sentences of a batch, and the number of words and the row of each sentence; from its texts, or as ``_read`` has kept them."""
+    """The hashes of the words in all sentences of a batch, and the number of words and the row of each sentence; from its texts, or as ``_read`` has kept them.
+
+    A sentence ends at a line end and at a blank after one of the marks ``.!?``.
+    """
     if "words" in batch:
-        return _flat(batch["words"])[0].view(np.uint64), *_flat(batch["sizes"])
-    words: list[str] = []
-    ends = np.zeros(len(batch), np.int64)
-    for row, text in enumerate(batch["text"]):
-        if text:
-            words += _words(text)
-        ends[row] = len(words)
-    hashes = hash_words(words)
-    end = np.flatnonzero(hashes == hash_words([_END]))
-    sizes = np.diff(end, prepend=-1) - 1
+        return _flat(batch["words"], np.uint64)[0], *_flat(batch["sizes"], np.int32)
+    texts = [x.lower() if x else "" for x in batch["text"]]
+    encoded = [(x if x.isascii() else _NO_LETTER.sub(lambda m: " " if m[0].isspace() else "-", x)).encode("utf-8", "surrogatepass") for x in texts]
+    text = b"\n".join(encoded) + b"\n"
+    kinds = np.frombuffer(text.translate(_KINDS), np.uint8)
+    edges = np.flatnonzero(np.diff(kinds == LETTER, prepend=False))
+    begin, end = edges[::2], edges[1::2]
+    ends = kinds == LINE_END
+    ends[1:] |= (kinds[1:] == BLANK) & (kinds[:-1] == MARK)
+    last = np.flatnonzero(ends)
+    sizes = np.diff(np.searchsorted(begin, last), prepend=0)
     long = sizes >= MIN_WORDS
-    taken = np.repeat(long, sizes + 1)
-    taken[end] = False
-    return hashes[taken], sizes[long], np.searchsorted(ends, end[long], side="right")
+    after = np.cumsum([len(x) + 1 for x in encoded], dtype=np.int64)
+    taken = np.repeat(long, sizes)
+    return _word_hashes(text, begin[taken], end[taken]), sizes[long], np.searchsorted(after, last[long], side="right")
+
+
+def _word_hashes(text: bytes, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """``hash_words`` of the words from ``begin`` to ``end``; each different one is taken from the text once.
+
+    Words of up to eight bytes are their own keys, longer ones have a 64-bit hash of them, which holds in this call only.
+    """
+    eights = np.ndarray((len(text),), np.uint64, text + bytes(8), strides=(1,))  # the eight bytes from each place
+    size = end - begin
+    key = eights[begin] & _FIRST_BYTES[np.minimum(size, 8)]
+    rest, at = np.flatnonzero((size > 8) & (size <= LONG_WORD)), 8
+    while len(rest):
+        key[rest] = mix(mix(key[rest] + np.uint64(at)) + (eights[begin[rest] + at] & _FIRST_BYTES[np.minimum(size[rest] - at, 8)]))
+        at += 8
+        rest = rest[size[rest] > at]
+    for k in np.flatnonzero(size > LONG_WORD):
+        key[k] = xxhash.xxh3_64_intdigest(text[begin[k] : end[k]])
+    code, different = pd.factorize(key)
+    first = np.zeros(len(different), np.int64)
+    first[code[::-1]] = np.arange(len(code))[::-1]
+    words = [text[a:b].decode("utf-8", "surrogatepass") for a, b in zip(begin[first].tolist(), end[first].tolist(), strict=True)]
+    return hash_words(words)[code]
 
 
 def _split(values: np.ndarray, rows: np.ndarray, n: int) -> list[np.ndarray]:
@@ -118,12 +153,23 @@ def _split(values: np.ndarray, rows: np.ndarray, n: int) -> list[np.ndarray]:
     return [values[bounds[k] : bounds[k + 1]] for k in range(n)]
 
 
+def _packed(lists: list[np.ndarray]) -> list[bytes]:
+    return [x.tobytes() for x in lists]
+
+
+def _flat(packed: pd.Series, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all lists, and the row of each."""
+    sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // np.dtype(kind).itemsize
+    values = np.frombuffer(b"".join(packed), kind)
+    return values if kind is np.uint64 else values.astype(np.int64), np.repeat(np.arange(len(packed)), sizes)
+
+
 def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The words of each text, for several scans."""
-    for batch in in_slabs(batches, SLAB):
+    for batch in _slabs(batches):
         hashes, sizes, rows = _sentences(batch)
-        words = _split(hashes.view(np.int64), np.repeat(rows, sizes), len(batch))
-        yield batch.drop(columns="text").assign(words=words, sizes=_split(sizes.astype(np.int32), rows, len(batch)))
+        words = _split(hashes, np.repeat(rows, sizes), len(batch))
+        yield batch.drop(columns="text").assign(words=_packed(words), sizes=_packed(_split(sizes.astype(np.int32), rows, len(batch))))
 
 
 def _found(batch: pd.DataFrame) -> Found:
@@ -226,7 +272,7 @@ def _rated_counts(names: list[str]):
     """Counts over rated documents."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from _added(_counted(_found(batch), _ratings(batch["rated"], names)) for batch in in_slabs(batches, SLAB))
+        yield from _added(_counted(_found(batch), _ratings(batch["rated"], names)) for batch in _slabs(batches))
 
     return run
 
@@ -244,7 +290,7 @@ def _reached_counts(known: np.ndarray, subject: np.ndarray, names: list[str]):
         return _counted(found, (share >= SHARE - 1e-9) & _ratings(batch["rated"], names), place < 0)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from _added(map(counted, in_slabs(batches, SLAB)))
+        yield from _added(map(counted, _slabs(batches)))
 
     return run
 
@@ -253,30 +299,41 @@ def _occurrences(known: np.ndarray):
     """Every known term of each sentence, once."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in in_slabs(batches, SLAB):
-            found = _found(batch)
-            place = _places(known, found.terms)[found.which]
-            key = np.sort(found.sentence[place >= 0] * max(len(known), 1) + place[place >= 0])
+        mask = (1 << min(MAX_BITS, (16 * len(known)).bit_length())) - 1
+        likely = np.zeros(mask + 1, bool)
+        likely[known & mask] = True
+        for batch in _slabs(batches):
+            hashes, sizes, rows = _sentences(batch)
+            of = np.repeat(np.arange(len(sizes)), sizes)
+            inside = np.flatnonzero(of[:-1] == of[1:])
+            terms = np.concatenate([hashes, mix(hashes[inside] * np.uint64(3) + hashes[inside + 1])]).view(np.int64)
+            at = np.flatnonzero(likely[terms & mask])
+            place = _places(known, terms[at])
+            sentence = np.concatenate([of, of[inside]])[at]
+            key = np.unique(sentence[place >= 0] * max(len(known), 1) + place[place >= 0])
             sentence, place = key // max(len(known), 1), (key % max(len(known), 1)).astype(np.int32)
-            row = found.rows[sentence]
-            number = (sentence - (np.cumsum(found.counts) - found.counts)[row]).astype(np.int32)
+            row, counts = rows[sentence], np.bincount(rows, minlength=len(batch))
+            number = (sentence - (np.cumsum(counts) - counts)[row]).astype(np.int32)
             kept = batch[[x for x in ("doc_id", "rated") if x in batch]]
-            yield kept.assign(sentences=found.counts.astype(np.int32), at=_split(number, row, len(batch)), terms=_split(place, row, len(batch)))
+            yield kept.assign(sentences=counts.astype(np.int32), at=_split(number, row, len(batch)), terms=_split(place, row, len(batch)))
 
     return run
 
 
-def _flat(lists: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    """The values of all lists, and the row of each."""
-    sizes = [0 if x is None else len(x) for x in lists]
-    full = [x for x in lists if x is not None and len(x)]
-    return np.concatenate(full).astype(np.int64) if full else np.zeros(0, np.int64), np.repeat(np.arange(len(lists)), sizes)
+def _edges(known: np.ndarray):
+    """``_occurrences`` as they are stored."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for found in _occurrences(known)(batches):
+            yield found.assign(at=_packed(found["at"]), terms=_packed(found["terms"]))
+
+    return run
 
 
 def _said(batch: pd.DataFrame, subject: np.ndarray, names: int) -> np.ndarray:
     """The share of the sentences of each document that have a term of each subject."""
-    terms, rows = _flat(batch["terms"])
-    sentences, _ = _flat(batch["at"])
+    terms, rows = _flat(batch["terms"], np.int32)
+    sentences, _ = _flat(batch["at"], np.int32)
     of = subject[terms]
     rows, sentences, of = rows[of >= 0], sentences[of >= 0], of[of >= 0]
     width = int(sentences.max(initial=0)) + 1
@@ -290,7 +347,7 @@ def _clamped(subject: np.ndarray, names: list[str]):
     code = {x: k for k, x in enumerate(names)}
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in in_slabs(batches, SLAB):
+        for batch in _slabs(batches):
             share = _said(batch, subject, len(names))
             least = np.full(share.shape, SHARE - 1e-9)
             for k, rated in enumerate(batch["rated"]):
@@ -309,13 +366,13 @@ def _term_sums(subject: np.ndarray, names: list[str]):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros((len(names) + 1, len(subject)), np.int64)
-        for batch in in_slabs(batches, SLAB):
+        for batch in _slabs(batches):
             labels = _said(batch, subject, len(names)) >= KEEP
             for k, rated in enumerate(batch["rated"]):
                 if rated is not None:
                     labels[k] = False
                     labels[k, [code[x] for x in rated]] = True
-            terms, rows = _flat(batch["terms"])
+            terms, rows = _flat(batch["terms"], np.int32)
             for k in range(len(names)):
                 sums[k] += np.bincount(terms[labels[rows, k]], minlength=len(subject))
             sums[-1] += np.bincount(terms, minlength=len(subject))
@@ -402,7 +459,7 @@ def document_subjects(documents: DataFrame, labels: DataFrame) -> DataFrame:
     known, subject = learnt["term"].to_numpy(np.int64), learnt["subject"].to_numpy(np.int64)
     if not len(known):
         return rated.select("doc_id", "subject", F.lit(1.0).alias("share")).where(F.lit(False))
-    found = written(words.mapInPandas(_occurrences(known), TERMS))
+    found = written(words.mapInPandas(_edges(known), TERMS))
     for _ in range(ROUNDS):
         sums = found.select("sentences", "at", "terms", "rated").mapInPandas(_term_sums(subject, names), SUMS).groupBy("term", "subject").agg(F.sum("n").alias("n"))
         subject = _next_subjects(sums.toPandas(), len(known), len(names))

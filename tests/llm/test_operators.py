@@ -407,6 +407,26 @@ def test_terms_are_counted_as_written_out(monkeypatch):
     assert {k: tuple(v) for k, v in few.iterrows()} == got
 
 
+def test_subjects_hash_each_different_word_once(monkeypatch):
+    rng, asked = random.Random(3), []
+    alphabet = ["a", "B", "é", "ß", "İ", "Σ", "中", "𝔘", "😀", "\u3000", "–", "_", "-", ".", "!", " ", " ", " ", "\n", "\x1d", "٣", "x" * 9, "y" * 17, "z" * 300]
+    texts = ["".join(rng.choice(alphabet) for _ in range(200)) for _ in range(60)] + [None, ""] + ["the same words again and again"] * 300
+    want = [[x for x in (words_of(x) for x in re.split(r"(?<=[.!?])\s+|\n+", (text or "").lower())) if len(x) >= subjects.MIN_WORDS] for text in texts]
+    monkeypatch.setattr(subjects, "hash_words", lambda words: asked.extend(words) or hash_words(words))
+    kept = pd.concat(subjects._read(iter([pd.DataFrame({"doc_id": range(len(texts)), "text": texts})])))
+    assert [np.frombuffer(x, np.uint64).tolist() for x in kept["words"]] == [[int(h) for s in x for h in hash_words(s)] for x in want]
+    assert [np.frombuffer(x, np.int32).tolist() for x in kept["sizes"]] == [[len(s) for s in x] for x in want]
+    assert sorted(asked) == sorted({w for x in want for s in x for w in s})
+
+
+def test_slabs_are_cut_by_size(monkeypatch):
+    monkeypatch.setattr(subjects, "SLAB", 10_000)
+    sizes = [0, 5_000, 60_000, 60_000, 0] + [3_000] * 40 + [0] * 30
+    slabs = list(subjects._slabs(iter([pd.DataFrame({"doc_id": range(len(sizes)), "text": ["x" * n or None for n in sizes]})])))
+    assert [k for x in slabs for k in x["doc_id"]] == list(range(len(sizes))) and len(slabs) > 15
+    assert all(sum(len(t or "") for t in x["text"][:-1]) + subjects.LEAST * (len(x) - 1) <= 10_000 for x in slabs)
+
+
 # ---------------------------------------------------------------- queries
 
 
