@@ -27,17 +27,18 @@ mails without a known sender lose a signature only where its shape shows it.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.session import spread, written
 
-from .own_lines import is_name, own_lines, sender_tokens
+from .own_lines import is_name, is_quoted, own_lines, sender_tokens
 from .words import mix, words_of
 
 MIN_WORDS = 6
@@ -48,34 +49,63 @@ EDITS = 0.15
 SHARED_BY = 5
 
 SENTENCES = "record_id string, thread bigint, position int, own boolean, tail boolean, said bigint, lines array<int>, sentence string, figures string, print array<bigint>"
-_END = re.compile(r"(?<=[.!?])\s+")
+#: Mails and characters that a task works on at once.
+MAILS, SLAB = 500, 50_000
+_END = re.compile(r"[.!?]\s+")
 _FIGURES = re.compile(r"\d+")
 _MARKS = re.compile(r"^\s*(?:[>|]\s?)+")
 _FACTORS = mix(np.arange(1, 2 * BANDS * ROWS, 2, dtype=np.uint64)) | np.uint64(1)
 _SHIFTS = mix(np.arange(2, 2 * BANDS * ROWS + 1, 2, dtype=np.uint64))
-
-
-def _characters(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-
-
-def _print(sentence: str) -> np.ndarray:
-    """256 bits, set for the pairs of neighbouring characters."""
-    c = _characters(sentence)
-    bits = np.zeros(256, np.uint8)
-    bits[(mix(c[:-1] * np.uint64(0x110000) + c[1:]) & np.uint64(255)).astype(np.int64)] = 1
-    return np.packbits(bits).view(np.int64)
-
-
-def _anchors(sentence: str) -> np.ndarray:
-    """``BANDS`` keys, each of the least values of ``ROWS`` hash functions over the runs of three characters."""
-    c = _characters(f"  {sentence}  ")
-    runs = mix(mix(c[:-2] * np.uint64(0x110000) + c[1:-1]) + c[2:])
-    minima = (runs[:, None] * _FACTORS + _SHIFTS).min(axis=0)
-    anchors = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for k in range(ROWS):
-        anchors = mix(anchors + minima[k::ROWS])
-    return anchors.view(np.int64)
+#: ASCII letters and digits in lower case, blanks for the rest.
+_PLAIN = bytes(ord(chr(c).lower()) if c < 128 and chr(c).isalnum() else 32 for c in range(256))
+
+
+def _slabs(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The characters of some of the texts after each other, and where each text begins and the last one ends."""
+    begin = size = 0
+    for k, text in enumerate(texts, 1):
+        size += len(text)
+        if size >= SLAB or k == len(texts):
+            some = texts[begin:k]
+            characters = np.frombuffer("".join(some).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+            yield characters, np.cumsum([0, *map(len, some)])
+            begin, size = k, 0
+
+
+def _prints(sentences: list[str]) -> np.ndarray:
+    """256 bits for each sentence, set for its pairs of neighbouring characters."""
+    found = [np.empty((0, 4), np.int64)]
+    for c, at in _slabs(sentences):
+        of = np.repeat(np.arange(len(at) - 1), np.diff(at))
+        places = of[:-1] * 256 + (mix(c[:-1] * np.uint64(0x110000) + c[1:]) & np.uint64(255)).astype(np.int64)
+        bits = np.zeros((len(at) - 1) * 256, np.uint8)
+        bits[places[of[:-1] == of[1:]]] = 1
+        found.append(np.packbits(bits).view(np.int64).reshape(-1, 4))
+    return np.concatenate(found)
+
+
+def _anchors(sentences: list[str]) -> np.ndarray:
+    """``BANDS`` keys for each sentence, each of the least values of ``ROWS`` hash functions over the runs of three characters."""
+    found = [np.empty((0, BANDS), np.int64)]
+    for c, at in _slabs([f"  {x}  " for x in sentences]):
+        runs = mix(mix(c[:-2] * np.uint64(0x110000) + c[1:-1]) + c[2:])
+        minima = np.array([(runs[begin : end - 2, None] * _FACTORS + _SHIFTS).min(axis=0) for begin, end in zip(at[:-1], at[1:], strict=True)])
+        anchors = np.arange(1, BANDS + 1, dtype=np.uint64)
+        for k in range(ROWS):
+            anchors = mix(anchors + minima[:, k::ROWS])
+        found.append(anchors.view(np.int64))
+    return np.concatenate(found)
+
+
+def _said(sentence: str) -> int | None:
+    """The fingerprint of the words of a sentence that has ``MIN_WORDS``."""
+    if sentence.isascii():
+        words = sentence.encode().translate(_PLAIN).split()
+        joined = b" ".join(words)
+    else:
+        words = words_of(sentence)
+        joined = " ".join(words)
+    return xxhash.xxh3_64_intdigest(joined) - (1 << 63) if len(words) >= MIN_WORDS else None
 
 
 def sentences_of(lines: list[str], own: list[int]) -> Iterator[tuple[list[int], str]]:
@@ -85,55 +115,73 @@ def sentences_of(lines: list[str], own: list[int]) -> Iterator[tuple[list[int],
         if run and k != run[-1] + 1:
             text, at = "", []
             for j in run:
-                at += [j] * (len(lines[j].strip()) + 1)
+                at.append(len(text))
                 text += lines[j].strip() + " "
-            begin = 0
-            for m in [*_END.finditer(text.rstrip()), None]:
-                end = len(text.rstrip()) if m is None else m.start()
+            text, begin = text.rstrip(), 0
+            for m in [*_END.finditer(text), None]:
+                end = len(text) if m is None else m.start() + 1
                 if end > begin:
-                    yield sorted(set(at[begin:end])), text[begin:end]
+                    yield run[bisect_right(at, begin) - 1 : bisect_left(at, end)], text[begin:end]
                 begin = len(text) if m is None else m.end()
             run = []
         run.append(k)
 
 
-def _sentences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _lists(values: np.ndarray, there: np.ndarray) -> pa.ListArray:
+    """A list for each row of ``values`` where ``there`` is set, NULL elsewhere."""
+    ends = np.concatenate([[0], np.cumsum(there) * values.shape[1]]).astype(np.int32)
+    return pa.ListArray.from_arrays(ends, values.ravel(), mask=pa.array(~there))
+
+
+def _sentences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = []
-        for record_id, thread, position, headed, sender, text in zip(*(batch[c] for c in ("record_id", "thread", "position", "headed", "sender", "text")), strict=True):
-            skip = 0
-            if headed:
-                head, mark, body = text.partition("\n---\n")
-                if mark:
-                    skip, text = head.count("\n") + 2, body
-                    sender = next((x[5:].strip() for x in head.split("\n") if x[:5].lower() == "from:"), None)
-            lines = text.split("\n")
-            own = own_lines(text, sender)
-            mine, above, tails = set(own), None, set()
-            for k, line in enumerate(lines):
-                if line.strip():
-                    if k in mine and above is not None and (above in tails or (above not in mine and lines[above].lstrip()[:1] not in (">", "|"))):
-                        tails.add(k)
-                    above = k
-            tokens = sender_tokens(sender)
-            bare = [_MARKS.sub("", x) for x in lines]
-            named = next((k for k, (x, y) in enumerate(zip(lines, bare, strict=True)) if x == y and is_name(x, tokens)), len(lines))
-            rest = [k for k, x in enumerate(bare) if k not in mine and x.strip()]
-            for numbers, of in ((own, True), (rest, False)):
-                for covered, sentence in sentences_of(bare, numbers):
-                    words = words_of(sentence)
-                    seen, tail = len(words) >= MIN_WORDS, of and (covered[0] in tails or covered[0] > named)
-                    if not (of or seen):
-                        continue  # left to the layout
-                    said = xxhash.xxh3_64_intdigest(" ".join(words)) - (1 << 63) if seen else None
-                    figures = " ".join(sorted(_FIGURES.findall(sentence))) if seen and of else None
-                    rows.append((record_id, thread, position, of, tail, said, [skip + k + 1 for k in covered], sentence if (seen and of) or tail else None, figures, _print(sentence) if seen and of else None))
-        yield pd.DataFrame(rows, columns=["record_id", "thread", "position", "own", "tail", "said", "lines", "sentence", "figures", "print"]).astype({"said": "Int64"})
-
-
-def _anchored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for begin in range(0, batch.num_rows, MAILS):
+            mails = batch.slice(begin, MAILS)
+            rows = [(k, *row) for k, mail in enumerate(zip(*(mails.column(c).to_pylist() for c in ("headed", "sender", "text")), strict=True)) for row in _mail(*mail)]
+            if not rows:
+                continue
+            of, own, tail, said, lines, sentence, figures = zip(*rows, strict=True)
+            printed = np.array([x is not None for x in figures])
+            kept = mails.select(["record_id", "thread", "position"]).take(pa.array(of))
+            prints = _prints([x for x, there in zip(sentence, printed, strict=True) if there])
+            made = [pa.array(own), pa.array(tail), pa.array(said, pa.int64()), pa.array(lines, pa.list_(pa.int32())), pa.array(sentence, pa.string()), pa.array(figures, pa.string()), _lists(prints, printed)]
+            yield pa.RecordBatch.from_arrays([*kept.columns, *made], [*kept.schema.names, "own", "tail", "said", "lines", "sentence", "figures", "print"])
+
+
+def _mail(headed: bool, sender: str | None, text: str) -> Iterator[tuple[bool, bool, int | None, list[int], str | None, str | None]]:
+    """``(own, tail, said, lines, sentence, figures)`` for each sentence of a mail."""
+    skip = 0
+    if headed:
+        head, mark, body = text.partition("\n---\n")
+        if mark:
+            skip, text = head.count("\n") + 2, body
+            sender = next((x[5:].strip() for x in head.split("\n") if x[:5].lower() == "from:"), None)
+    lines = text.split("\n")
+    own = own_lines(text, sender)
+    mine, above, tails = set(own), None, set()
+    for k, line in enumerate(lines):
+        if line.strip():
+            if k in mine and above is not None and (above in tails or (above not in mine and not is_quoted(lines[above]))):
+                tails.add(k)
+            above = k
+    tokens = sender_tokens(sender)
+    bare = [_MARKS.sub("", x) if is_quoted(x) else x for x in lines]
+    named = next((k for k, (x, y) in enumerate(zip(lines, bare, strict=True)) if x == y and is_name(x, tokens)), len(lines))
+    rest = [k for k, x in enumerate(bare) if k not in mine and x.strip()]
+    for numbers, of in ((own, True), (rest, False)):
+        for covered, sentence in sentences_of(bare, numbers):
+            said, tail = _said(sentence), of and (covered[0] in tails or covered[0] > named)
+            if not (of or said is not None):
+                continue  # left to the layout
+            compared = of and said is not None
+            figures = " ".join(sorted(_FIGURES.findall(sentence))) if compared else None
+            yield of, tail, said, [skip + k + 1 for k in covered], sentence if compared or tail else None, figures
+
+
+def _anchored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        yield batch.assign(anchors=[_anchors(x) for x in batch["sentence"]])
+        anchors = _anchors(batch.column("sentence").to_pylist())
+        yield pa.RecordBatch.from_arrays([*batch.columns, _lists(anchors, np.ones(batch.num_rows, bool))], ["sentence", "mails", "anchors"])
 
 
 def _most(a: str, b: str) -> Column:
@@ -147,7 +195,7 @@ def _near(a: str, b: str) -> Column:
 def boilerplate(sentences: DataFrame) -> DataFrame:
     """``(sentence)``: what stands below the signatures of ``SHARED_BY`` mails, in nearly these words."""
     below = sentences.where("tail and sentence is not null").select("record_id", "sentence").distinct().groupBy("sentence").agg(F.count("*").alias("mails"))
-    keyed = written(below.mapInPandas(_anchored, "sentence string, mails bigint, anchors array<bigint>")).select("sentence", "mails", F.explode("anchors").alias("anchor"))
+    keyed = written(below.mapInArrow(_anchored, "sentence string, mails bigint, anchors array<bigint>")).select("sentence", "mails", F.explode("anchors").alias("anchor"))
     other = keyed.select(F.col("sentence").alias("other"), F.col("mails").alias("other_mails"), "anchor")
     met = keyed.join(other, "anchor").where(F.abs(F.length("sentence") - F.length("other")) <= _most("sentence", "other")).select("sentence", "other", "other_mails").distinct()
     near = met.where(_near("sentence", "other"))
@@ -178,7 +226,7 @@ def inherited(sentences: DataFrame) -> DataFrame:
 def _analysed(mails: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The sentences of all mails, and ``(sentence_id, step)`` of those that fingerprints remove."""
     texts = spread(mails.where("record_id is not null and text is not null and text <> ''"))
-    sentences = written(texts.mapInPandas(_sentences, SENTENCES).withColumn("sentence_id", F.xxhash64("record_id", "lines", "said", "sentence")))
+    sentences = written(texts.mapInArrow(_sentences, SENTENCES).withColumn("sentence_id", F.xxhash64("record_id", "lines", "said", "sentence")))
     shared = written(boilerplate(sentences))
     tails = sentences.where("tail and sentence is not null").select("sentence_id", "sentence").join(shared, "sentence").select("sentence_id")
     steps = [(repeated(sentences), "repeated"), (inherited(sentences), "nearly repeated"), (tails, "boilerplate")]

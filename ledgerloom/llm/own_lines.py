@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import lru_cache
 
 from .names import fold, one_edit, parse_form
 
@@ -20,7 +21,6 @@ DISCLAIMERS = (
 )
 # --- end of fixed values ---
 
-_QUOTED = re.compile(r"\s*[>|]")
 _HEAD = re.compile(rf"\s*[*_]{{0,2}}(?:{HEADS})\s*[*_]{{0,2}}:", re.I)
 _FROM = re.compile(r"\s*[*_]{0,2}(?:from|von|de)\s*[*_]{0,2}:\s*\S|\s*[*_]{0,2}(?:from|von|de):[*_]{0,2}", re.I)
 _SEPARATOR = re.compile(r"\s*(?:-{3,}\s*(?:original|forwarded|ursprüngliche|weitergeleitete|mensaje)[^-]*-{3,}|begin forwarded message:|_{20,}|-{20,})\s*$", re.I)
@@ -31,32 +31,45 @@ _DELIMITER = re.compile(r"\s*(?:-- ?|—{1,3}|_{5,19}|\*{3,}|={3,}|~{3,})\s*$")
 _DEVICE = re.compile(rf"\s*(?:{DEVICES})$", re.I)
 _DISCLAIMER = re.compile(rf"\s*(?:{DISCLAIMERS})", re.I)
 _CONTACT = re.compile(r"@|\+?\(?\d{2,5}\)?[ .-]\d{3,5}[ .-]\d{3,4}|, [A-Z]{2} \d{5}|^\s*(?:P\.? ?O\.? Box|\d{1,5} [A-ZÀ-Þ]\w+ |[A-ZÀ-Þ]\w+(?:weg|straße|platz|gasse) \d|Calle )|\b(?:Ltd|LLC|GmbH|Inc|Incorporated|Limited)\.?\s*$")
+_WORD = re.compile(r"[^\W\d_]+")
+_NO_NAME = re.compile(r"\d|@")
+_DASH_NAME = re.compile(r"\s*[-–—] ?[A-ZÀ-Þ]\w+\s*$")
 _TITLE = re.compile(r"\s*[A-ZÀ-Þ][\wÀ-ÿ.&,-]*(?: (?:of|de|und|and|für|[A-ZÀ-Þ&][\wÀ-ÿ.&,-]*)){0,5}\s*$")
 
 
-def is_name(line: str, tokens: set[str]) -> bool:
+def is_quoted(line: str) -> bool:
+    return line.lstrip()[:1] in (">", "|")
+
+
+def is_name(line: str, tokens: frozenset[str]) -> bool:
     """The sender's own name alone on a line."""
-    words = re.findall(r"[^\W\d_]+", line)
-    if not 1 <= len(words) <= 5 or line.rstrip().endswith((",", ":", "?", "!", ";")) or re.search(r"\d|@", line):
+    if not tokens or line.rstrip().endswith((",", ":", "?", "!", ";")):
         return False
-    if not all(w[0].isupper() or w in ("von", "de", "the") for w in words):
+    words: list[str] = []
+    for m in _WORD.finditer(line):  # most lines end at their second word
+        w = m.group()
+        if len(words) == 5 or not (w[0].isupper() or w in ("von", "de", "the")):
+            return False
+        words.append(w)
+    if _NO_NAME.search(line):
         return False
     full = [fold(w) for w in words if len(w) > 1]
-    return bool(tokens) and bool(full) and any(w in tokens or (len(w) > 4 and any(one_edit(w, t) for t in tokens)) for w in full)
+    return any(w in tokens or (len(w) > 4 and any(one_edit(w, t) for t in tokens)) for w in full)
 
 
-def _contact(line: str, tokens: set[str]) -> bool:
+def _contact(line: str, tokens: frozenset[str]) -> bool:
     text = line.strip()
     if len(text) > 70:
         return False
     return bool(_CONTACT.search(text) or _TITLE.match(text) or is_name(text, tokens) or _DELIMITER.match(text))
 
 
-def sender_tokens(sender: str | None) -> set[str]:
+@lru_cache(20_000)
+def sender_tokens(sender: str | None) -> frozenset[str]:
     if not sender or sender.strip().lower() == "n/a":
-        return set()
+        return frozenset()
     full, _ = parse_form(sender)
-    return {t for t in full if len(t) > 1}
+    return frozenset(t for t in full if len(t) > 1)
 
 
 def own_lines(text: str, sender: str | None) -> list[int]:
@@ -64,7 +77,7 @@ def own_lines(text: str, sender: str | None) -> list[int]:
     lines = text.split("\n")
     tokens = sender_tokens(sender)
     n = len(lines)
-    quoted = [bool(_QUOTED.match(x)) for x in lines]
+    quoted = [is_quoted(x) for x in lines]
     blank = [not x.strip() for x in lines]
     after = [n] * (n + 1)  # the next line that is not blank
     for i in range(n - 1, -1, -1):
@@ -76,10 +89,10 @@ def own_lines(text: str, sender: str | None) -> list[int]:
             i += 1
             continue
         line = lines[i]
-        written = not all(drop[:i])
-        head = _FROM.match(line) and sum(bool(_HEAD.match(lines[k])) for k in range(i, min(n, i + 5))) >= 2
+        head = ":" in line and _FROM.match(line) and sum(bool(_HEAD.match(lines[k])) for k in range(i, min(n, i + 5))) >= 2
         separator = _SEPARATOR.match(line) and after[i + 1] < n and (_HEAD.match(lines[after[i + 1]]) or quoted[after[i + 1]])
         if head or separator:
+            written = not all(drop[:i])
             while i < n and (blank[i] or _SEPARATOR.match(lines[i]) or _HEAD.match(lines[i]) or (lines[i].lstrip().startswith(("<",)) and not quoted[i])):
                 drop[i] = True
                 i += 1
@@ -117,26 +130,27 @@ def _intro(lines: list[str], quoted: list[bool], blank: list[bool], after: list[
         if end > len(lines) or blank[end - 1] or quoted[end - 1]:
             return 0
         last = lines[end - 1]
-        if _INTRO_END.search(last) and (size == 1 or _INTRO_START.match(lines[i])):
+        colon = last.rstrip().endswith(":")
+        if colon and _INTRO_END.search(last) and (size == 1 or _INTRO_START.match(lines[i])):
             follows = after[end]
             if follows < len(lines) and (quoted[follows] or _INTRO_START.match(lines[i])):
                 return end
             return 0
-        if size == 1 and _NAME_COLON.match(last) and end < len(lines) and quoted[end]:
+        if colon and size == 1 and _NAME_COLON.match(last) and end < len(lines) and quoted[end]:
             return end
         if last.rstrip().endswith((".", "?", "!")):
             return 0
     return 0
 
 
-def _signature(lines: list[str], quoted: list[bool], blank: list[bool], after: list[int], i: int, tokens: set[str]) -> int:
+def _signature(lines: list[str], quoted: list[bool], blank: list[bool], after: list[int], i: int, tokens: frozenset[str]) -> int:
     """Where the closing formula, name and contact lines end, if they begin here."""
     n, line = len(lines), lines[i].strip()
     closing = line.lower().rstrip(",.! ") in CLOSINGS and not line.endswith(".")
     if not closing and len(line) <= 24 and line.endswith(",") and after[i + 1] < n and is_name(lines[after[i + 1]], tokens):
         closing = any(one_edit(line.lower().rstrip(","), c) for c in CLOSINGS)
     delimiter = bool(_DELIMITER.match(lines[i]))
-    dash_name = bool(re.match(r"\s*[-–—] ?[A-ZÀ-Þ]\w+\s*$", lines[i])) and (not tokens or is_name(line.lstrip("-–— "), tokens))
+    dash_name = bool(_DASH_NAME.match(lines[i])) and (not tokens or is_name(line.lstrip("-–— "), tokens))
     own_name = is_name(line, tokens)
     after_me = after[i + 1]
     if own_name and not closing:

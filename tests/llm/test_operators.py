@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import golay, history, leaks, names, near_duplicates, own_lines, packing, private_data, scan_noise, subjects
@@ -187,6 +188,68 @@ def test_boilerplate_retyped_and_short(spark):
     assert got == {(f"m{k}", n) for k in range(5) for n in (1, 2)}
 
 
+def test_repeated_whatever_the_batch(spark):
+    """A fingerprint has all its bits, whatever else the batch of a mail holds."""
+    schema = "record_id string, thread bigint, position int, headed boolean, sender string, text string"
+    said = ["The quick controller reviewed seven binders before the long weekend.", "Über dem Lager der Firma liegt seit gestern ein neues Dach."]
+    rows = [(f"a{k}", k, 1, False, None, x) for k, x in enumerate(said)] + [(f"b{k}", k, 2, False, None, f"Will do.\n\n{x.upper()}") for k, x in enumerate(said)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 1)
+    try:
+        got = {(r["record_id"], r["line_no"]) for r in history.newly_written(spark.createDataFrame(rows, schema)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == {("a0", 1), ("a1", 1), ("b0", 1), ("b1", 1)}
+
+
+def test_sentences_by_definition(monkeypatch):
+    """Sentences, lines, fingerprints, prints and anchors against plain loops; prints of many sentences are made at once."""
+    rng = random.Random(8)
+    mix, calls = history.mix, []
+    monkeypatch.setattr(history, "mix", lambda x: calls.append(1) or mix(x))
+    words = ["Ledger", "über", "x", "12", "plan_b", "A.B.", "done.", "why?!", "日本。", "İ", "ends. ", "...", "", "\x1c", "\u00a0"]
+    texts = ["\n".join(" ".join(rng.choice(words) for _ in range(rng.randint(0, 9))) for _ in range(rng.randint(1, 8))) for _ in range(400)]
+    sentences = []
+    for text in texts:
+        lines = text.split("\n")
+        own = [k for k in range(len(lines)) if rng.random() < 0.8]
+        want = []
+        for k in own:
+            if k - 1 not in own:
+                run = [k]
+                while run[-1] + 1 in own:
+                    run.append(run[-1] + 1)
+                at = [(j, c) for j in run for c in lines[j].strip() + " "]
+                whole = "".join(c for _, c in at).rstrip()
+                begin = 0
+                for m in [*re.finditer(r"(?<=[.!?])\s+", whole), None]:
+                    end = len(whole) if m is None else m.start()
+                    if end > begin:
+                        want.append((sorted({j for j, _ in at[begin:end]}), whole[begin:end]))
+                    begin = len(whole) if m is None else m.end()
+        assert list(history.sentences_of(lines, own)) == want
+        sentences += [x for _, x in want]
+    for x in sentences:
+        w = words_of(x)
+        assert history._said(x) == (xxhash.xxh3_64_intdigest(" ".join(w)) - (1 << 63) if len(w) >= history.MIN_WORDS else None)
+    assert len(sentences) > 500 and not calls
+    prints, anchors = history._prints(sentences), history._anchors(sentences)
+    assert len(calls) < 50
+    monkeypatch.setattr(history, "SLAB", 1)
+    assert (history._prints(sentences) == prints).all() and (history._anchors(sentences) == anchors).all()
+    for x, got in zip(sentences[:200], prints, strict=False):
+        bits = np.zeros(256, np.uint8)
+        for a, b in zip(x, x[1:], strict=False):
+            bits[int(mix(np.array([ord(a) * 0x110000 + ord(b)], np.uint64))[0]) & 255] = 1
+        assert (np.packbits(bits).view(np.int64) == got).all()
+    assert history._prints([]).shape == (0, 4) and history._anchors([]).shape == (0, history.BANDS)
+
+
+def test_names_on_a_line():
+    tokens = own_lines.sender_tokens("Lopez, Ana")
+    assert [x for x in ["Ana Lopez", "Ana", "A. Lopes", "von Lopez", "Ana Lopez,", "Ana lopez", "Ana Lopez 2", "Ana@x", "Ana B C D E F", "", "12", "The ledger", "Bo Roe"] if own_lines.is_name(x, tokens)] == ["Ana Lopez", "Ana", "A. Lopes", "von Lopez"]
+    assert not own_lines.is_name("Ana", own_lines.sender_tokens("n/a")) and not own_lines.is_name("Ana", own_lines.sender_tokens(None))
+
+
 # ---------------------------------------------------------------- 4
 
 
